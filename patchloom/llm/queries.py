@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from patchloom.llm import quality, sql
+from patchloom.llm import decontaminate, quality, sql
 
 
 def queries() -> dict:
     return {
+        "op5_decontaminate": decontaminate.op5_decontaminate,
         "op7_quality_rules": quality.op7_quality_rules,
     }
 

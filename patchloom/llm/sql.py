@@ -32,6 +32,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r0 O
 FROM b
 """
 
+DECONTAMINATE = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS size, array_to_string(words[p:p + least(len(words), 10) - 1], ' ') AS k
+  FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS p FROM b WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT size FROM win),
+grams AS (
+  SELECT doc_id, size, p, array_to_string(words[p:p + size - 1], ' ') AS k
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS p FROM d, sizes WHERE len(words) >= size)),
+found AS (SELECT doc_id, p, g.size, item_id FROM grams g JOIN win USING (size, k)),
+hits AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM found GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(hits.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items.ids, '')) AS items_sha256,
+       coalesce(hits.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+"""
+
 ORACLES = {
+    "op5_decontaminate": DECONTAMINATE,
     "op7_quality_rules": QUALITY,
 }
