@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from patchloom.llm import decontaminate, quality, sql
+from patchloom.llm import decontaminate, langid, quality, sql, toxicity
 
 
 def queries() -> dict:
     return {
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op7_quality_rules": quality.op7_quality_rules,
+        "op9_language_id": langid.op9_language_id,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
