@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from patchloom.llm import decontaminate, langid, quality, sql, toxicity
+from patchloom.llm import decontaminate, langid, pieces, quality, sql, toxicity
 
 
 def queries() -> dict:
     return {
         "op5_decontaminate": decontaminate.op5_decontaminate,
+        "op6_sentencepiece": pieces.op6_sentencepiece,
         "op7_quality_rules": quality.op7_quality_rules,
         "op9_language_id": langid.op9_language_id,
         "op10_toxicity": toxicity.op10_toxicity,
