@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from patchloom.llm import decontaminate, langid, pieces, quality, sql, toxicity
+from patchloom.llm import decontaminate, langid, packing, pieces, quality, sql, toxicity
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_sentencepiece": pieces.op6_sentencepiece,
         "op7_quality_rules": quality.op7_quality_rules,
+        "op8_token_shards": packing.op8_token_shards,
         "op9_language_id": langid.op9_language_id,
         "op10_toxicity": toxicity.op10_toxicity,
     }
