@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from patchloom.llm import decontaminate, extract, langid, packing, pieces, quality, sql, toxicity
+from patchloom.llm import decontaminate, extract, langid, neardup, packing, pieces, quality, sql, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_near_dedup": neardup.op1_near_dedup,
         "op2_extract": extract.op2_extract,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_sentencepiece": pieces.op6_sentencepiece,

@@ -55,7 +55,26 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(hits.n,
 FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
 
+NEAR_DEDUP = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(words[p:p + 3], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS p FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM both_ JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+e AS (SELECT x AS a, y AS b FROM link UNION ALL SELECT y, x FROM link),
+reach(a, b) AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+least_ AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(least_.b, w.doc_id)) AS component_id,
+       w.doc_id <= coalesce(least_.b, w.doc_id) AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least_ ON w.doc_id = least_.a
+"""
+
 ORACLES = {
+    "op1_near_dedup": NEAR_DEDUP,
     "op5_decontaminate": DECONTAMINATE,
     "op7_quality_rules": QUALITY,
 }
