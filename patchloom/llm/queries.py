@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from patchloom.llm import decontaminate, extract, langid, neardup, packing, pieces, quality, sql, toxicity
+from patchloom.llm import decontaminate, extract, langid, lm, neardup, packing, pieces, quality, sql, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_near_dedup": neardup.op1_near_dedup,
         "op2_extract": extract.op2_extract,
+        "op3_lm_score": lm.op3_lm_score,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_sentencepiece": pieces.op6_sentencepiece,
         "op7_quality_rules": quality.op7_quality_rules,
