@@ -153,6 +153,16 @@ def _rank(texts: list[bytes | None], place: dict[bytes, int]) -> tuple[np.ndarra
     return ranks, np.array([len(w) + 1 for w in split], np.int64), split
 
 
+def _sum_rows(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Rows added up by their place in a table of n rows."""
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    order = np.argsort(at, kind="stable")
+    places = at[order]
+    first = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
+    out[places[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
 def _contrast(model: Model, one: np.ndarray, two: np.ndarray, target: np.ndarray, rate: float, rng: np.random.Generator) -> Model:
     """One pass of noise-contrastive estimation; a batch shares its noise."""
     c = model.config
@@ -165,16 +175,16 @@ def _contrast(model: Model, one: np.ndarray, two: np.ndarray, target: np.ndarray
         a, b = p[0][i], p[0][j]
         h = a @ p[1] + b @ p[2]
         drawn = np.bincount(rng.choice(c.outputs, c.noise, p=noise), minlength=c.outputs).astype(np.float32)
+        taken = np.flatnonzero(drawn)  # the others are no noise of this batch
         # how far each output is taken for noise; the target is data once more
-        s = 1 / (1 + np.exp(np.clip(shift - p[4] - h @ p[3].T, -30, 30)))
-        g = s * drawn
-        rows = np.arange(len(t))
-        g[rows, t] += s[rows, t] - 1
+        s = 1 / (1 + np.exp(np.clip((shift - p[4])[taken] - h @ p[3][taken].T, -30, 30)))
+        own = 1 / (1 + np.exp(np.clip((shift - p[4])[t] - np.einsum("ij,ij->i", h, p[3][t]), -30, 30)))
+        g = np.zeros((len(t), c.outputs), np.float32)
+        g[:, taken] = s * drawn[taken]
+        g[np.arange(len(t)), t] += own - 1
         g /= len(t)
         dh = g @ p[3]
-        de = np.zeros_like(p[0])
-        np.add.at(de, i, dh @ p[1].T)
-        np.add.at(de, j, dh @ p[2].T)
+        de = _sum_rows(i, dh @ p[1].T, len(p[0])) + _sum_rows(j, dh @ p[2].T, len(p[0]))
         for k, d in enumerate((de, a.T @ dh, b.T @ dh, g.T @ h, g.sum(0))):
             seen[k] += d * d
             p[k] -= rate * d / np.sqrt(seen[k])
@@ -208,8 +218,7 @@ def train_on_all(train: DataFrame, model: Model) -> Model:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 ranks, lengths, _ = _rank(bytes_column(whole.slice(at, 500).column(0)), place)
-                order = rng.permutation(len(ranks))
-                now = _contrast(now, *(x[order] for x in _ids(ranks, lengths, now.config)), now.config.rate, rng)
+                now = _contrast(now, *_ids(ranks, lengths, now.config), now.config.rate, rng)
                 seen += len(ranks)
         if seen:
             flat = now.parameters().astype(np.float64) * seen
