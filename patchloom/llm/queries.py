@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from patchloom.llm import decontaminate, extract, langid, lm, neardup, packing, pieces, quality, sql, toxicity
+from patchloom.llm import decontaminate, extract, langid, linedup, lm, neardup, packing, pieces, quality, sql, toxicity
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_near_dedup": neardup.op1_near_dedup,
         "op2_extract": extract.op2_extract,
         "op3_lm_score": lm.op3_lm_score,
+        "op4_line_dedup": linedup.op4_line_dedup,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_sentencepiece": pieces.op6_sentencepiece,
         "op7_quality_rules": quality.op7_quality_rules,
