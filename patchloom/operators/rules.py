@@ -78,7 +78,7 @@ def primary_rules(max_tokens: int = 512) -> list[Rule]:
 def external_rules(max_tokens: int = 512) -> list[Rule]:
     """Rules of externally extracted pairs; columns of prepare_external."""
     c = F.col
-    module = c("unit_type") == "module_block"
+    module = F.coalesce(c("unit_type") == "module_block", F.lit(False))
     one = (F.size("cwes") == 1) & c("cwes")[0].isin(*K.TARGETS)
     exempt = module & F.array_contains("cwes", "CWE-798") & (F.trim(F.coalesce(c("cwe_isolation_evidence"), F.lit(""))) != "")
     lines = ("start_line_before", "start_line_after", "end_line_before", "end_line_after")
