@@ -165,11 +165,14 @@ def ablations(book: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
 def quality_filter(docs: DataFrame, policy: Policy = DEFAULT, limits: Limits = Limits()) -> DataFrame:
     """The documents that a policy keeps, with the columns of docs.
 
-    The verdict is computed beside each row, so no join and no shuffle.
+    The verdict is computed beside each row, so no join and no shuffle. Rows are
+    dropped through a generator: a filter would be pushed below the measures and
+    evaluate them anew in each rule.
     """
     row = F.struct(*[F.col(c) for c in docs.columns])
     held = docs.select(row.alias("doc_id"), F.col("text"))
-    return apply_policy(ledger(held, limits), policy).where("kept").select("doc_id.*")
+    judged = apply_policy(ledger(held, limits), policy)
+    return judged.select(F.explode_outer(F.when(F.col("kept"), F.array("doc_id"))).alias("row")).where("row IS NOT NULL").select("row.*")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
