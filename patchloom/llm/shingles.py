@@ -18,7 +18,7 @@ _PLACE = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of texts that are hashed together.
-CHUNK = 2_000_000
+CHUNK = 500_000
 
 _powers: dict[str, np.ndarray] = {}
 
