@@ -7,14 +7,16 @@ the node's own hash, about 1 / similarity branches for each level, lead to the
 children named by the values there. Similar records share each branch with a
 chance that adds up to one for a level; dissimilar ones part. A node that is
 small enough is compared exhaustively by sketch. A larger one is dealt to blocks
-that share pivots, compared, and branched further unless all its records already
-hang together; what is still large at the last level is compared block by block.
-Independent trees are repeated to the target recall.
+that share pivots, compared, and branched further unless nearly all its records
+already lie in one confirmed component and the others have met them all; what is
+still large at the last level is compared block by block. Independent trees are
+repeated to the target recall.
 
 Records that hang together by sketch form families; each record's full set is
-read once more and links are confirmed on full sets: within the family, or for
-large families within the clusters of their nodes. Only links that join two
-components are kept, so no group emits all its pairs.
+read once more and links are confirmed on full sets: within the family; in a
+large family between its main component, block by block, and all other records,
+or, if these are many, within the clusters of its nodes. Only links that join
+two components are kept, so no group emits all its pairs.
 
 Defined results: null and wordless texts have no shingles and link with nothing;
 rows that share an id are one vertex; a null id links with nothing and is kept.
@@ -38,11 +40,13 @@ from patchloom.llm.shingles import mix, overlap, shingle_sets
 @dataclass(frozen=True)
 class Config:
     percent: int = 80
-    trees: int = 12
+    trees: int = 10
     places: int = 128
     leaf: int = 256
     pivots: int = 8
     levels: int = 6
+    #: Records outside a main component that meet all of it at once.
+    others: int = 2048
     #: Records and shingles of a family that one task confirms together.
     family: int = 1024
     family_shingles: int = 4_000_000
@@ -55,12 +59,6 @@ class Config:
         s = self.percent / 100
         return int(self.places * s - 4.3 * (self.places * s * (1 - s)) ** 0.5)
 
-    @property
-    def sure_equal(self) -> int:
-        """Equal places of a pair that is all but certainly over the threshold."""
-        s = self.percent / 100
-        return int(self.places * s + 3 * (self.places * s * (1 - s)) ** 0.5) + 1
-
 
 def _seeds(n: int, start: int) -> np.ndarray:
     return mix(np.arange(start, start + n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -181,20 +179,20 @@ def _clusters(config: Config) -> Callable[[int, dict[str, list]], list[tuple]]:
 
 
 def _roots(reps: DataFrame, config: Config) -> DataFrame:
-    """(node, rec): the children of every tree's root."""
+    """(node, rec): the grandchildren of every tree's root."""
     order = np.argsort(_seeds(config.places, 5001))
-    branches, used = [], 0
+    branches: list[tuple[int, int, int]] = []
     for tree in range(config.trees):
-        # 1.25 branches for each level on average, at 0.8
-        for _ in range(2 if tree % 4 == 3 else 1):
-            branches.append((tree, int(order[used % config.places])))
-            used += 1
+        # two levels at once: about 1.25 ** 2 branches on average, at 0.8
+        for _ in range(2 if tree % 5 < 3 else 1):
+            at = 2 * len(branches)
+            branches.append((tree, int(order[at % config.places]), int(order[(at + 1) % config.places])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             recs = batch.column(0).to_numpy()
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(len(recs), -1)
-            nodes = [mix(sig[:, place].astype(np.uint64) + np.uint64((tree * config.places + place + 1) << 20)) for tree, place in branches]
+            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(len(recs), -1).astype(np.uint64)
+            nodes = [mix(sig[:, one] << np.uint64(16) | sig[:, two] | np.uint64((tree * config.places + one + 1) << 40)) for tree, one, two in branches]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes).view(np.int64)), pa.array(np.tile(recs, len(nodes)))], ["node", "rec"])
 
     return reps.select("rec", "sig").mapInArrow(run, "node long, rec long")
@@ -203,22 +201,24 @@ def _roots(reps: DataFrame, config: Config) -> DataFrame:
 def _children(large: DataFrame, config: Config) -> DataFrame:
     """(node, rec) below the nodes of large (node, n, rec, sig).
 
-    A node of n records branches as many levels at once as it would take
-    records of 0.8 similarity to shrink to a leaf, with as many branches.
+    A node of n records branches as many levels at once, up to four, as records
+    of 0.8 similarity would take to shrink to a leaf, with as many branches.
     """
     s = config.percent / 100
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             node = batch.column(0).to_numpy().view(np.uint64)
             n = batch.column(1).to_numpy().astype(float)
             recs = batch.column(2).to_numpy()
             sig = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).reshape(len(recs), -1)
-            depth = np.clip(np.ceil(np.log(n / config.leaf) / np.log(1 / s)), 1, 10).astype(int)
+            depth = np.clip(np.ceil(np.log(n / config.leaf) / np.log(1 / s)), 1, 4).astype(int)
             width = np.ceil((1 / s) ** depth).astype(int)
             out_node, out_rec = [], []
             for b in range(int(width.max(initial=0))):
-                child = mix(node + np.uint64(b + 1) * np.uint64(0xD6E8FEB86659FD93))
+                child = mix(node + np.uint64((b + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
                 path = child.copy()
                 for d in range(int(depth.max(initial=0))):
                     place = (mix(child + np.uint64(d)) % np.uint64(config.places)).astype(np.int64)
@@ -253,84 +253,110 @@ def _pairs_of_blocks(large: DataFrame, config: Config) -> DataFrame:
     return other.select(F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other")).alias("grp"), "rec", "sig")
 
 
-def candidates(reps: DataFrame, config: Config = Config()) -> DataFrame:
-    """(grp, rec, root): the clusters by sketch of all groups of all trees."""
-    compare, names = _clusters(config), ["grp", "rec", "root"]
-    schema = "grp long, rec long, root long"
+def candidates(docs: DataFrame, reps: DataFrame, config: Config = Config()) -> tuple[DataFrame, DataFrame]:
+    """(grp, rec, root): the clusters by sketch of all groups of all trees, and
+    (a, b): links that were confirmed on the way.
+
+    Every fourth large node is confirmed on full sets at once. A large node
+    whose records then lie in one component is done: nothing could add to it.
+    One with few records outside its main component is done when these have met
+    all others. The rest branches.
+    """
+    compare, names, schema = _clusters(config), ["grp", "rec", "root"], "grp long, rec long, root long"
+    spark = reps.sparkSession
     found: list[DataFrame] = []
+    linked = spark.createDataFrame([], "a long, b long")
     frontier = materialise(_roots(reps, config), "frontier")
     for level in range(config.levels):
         sizes = frontier.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        shared = materialise(frontier.join(sizes, "node").join(reps.select("rec", "sig"), "rec").select("node", "n", "rec", "sig"), "nodes")
-        leaves = shared.where(F.col("n") <= config.leaf).select(F.col("node").alias("grp"), "rec", "sig")
-        found.append(_by_group(leaves, "grp", compare, names, schema))
-        large = shared.where(F.col("n") > config.leaf)
+        signed = materialise(frontier.join(sizes, "node").join(reps.select("rec", "sig"), "rec").select("node", "n", "rec", "sig"), "nodes")
+        leaves = signed.where(F.col("n") <= config.leaf).select(F.col("node").alias("grp"), "rec", "sig")
+        found.append(materialise(_by_group(leaves, "grp", compare, names, schema), "leaves"))
+        large = signed.where(F.col("n") > config.leaf)
+        if large.isEmpty():
+            break
+        early = materialise(_by_group(_blocks(large.where(F.pmod(F.xxhash64("node"), F.lit(4)) == 0), config), "grp", compare, names, schema), "early")
+        linked = materialise(linked.unionByName(_confirmed(docs, early, config)), "linked")
+        classes = components(linked)
+        sized = _majorities(large.select("node", "n", "rec"), classes)
+        large = materialise(large.join(sized.where("others > 0"), "node"), "large")
         if large.isEmpty():
             break
-        dealt = _pairs_of_blocks(large, config) if level == config.levels - 1 else _blocks(large, config)
+        last = level == config.levels - 1
+        few = F.col("others") <= config.others
+        rest = large.where(~few)
+        dealt = _blocks_with_others(large.where(few), classes, config).unionByName(_pairs_of_blocks(rest, config) if last else _blocks(rest, config))
         found.append(materialise(_by_group(dealt, "grp", compare, names, schema), "blocks"))
-        if level < config.levels - 1:
-            open_nodes = large.join(_settled(large, found[-1], config), "node", "left_anti")
-            frontier = materialise(_children(open_nodes, config).distinct(), "frontier")
+        if not last:
+            frontier = materialise(_children(rest, config).distinct(), "frontier")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return materialise(out, "clusters")
+    return out, linked
 
 
-def _settled(large: DataFrame, clusters: DataFrame, config: Config) -> DataFrame:
-    """(node) of the large nodes, no larger than a family, whose records hang
-    together in one component: a further level could add nothing."""
-    fits = large.where(F.col("n") <= config.family)
-    blocks = F.ceil(F.col("n") / config.leaf).cast("int")
-    least = fits.groupBy("node", "n").agg(F.min(F.struct(F.xxhash64("rec", F.lit(0)), F.col("rec").alias("rec"))).alias("p"))
-    dealt = least.select("node", "n", F.col("p.rec").alias("pivot"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
-    pivot = dealt.select("node", "n", "pivot", F.xxhash64("node", "block").alias("grp"))
-    root = clusters.join(pivot, ["grp"]).where(F.col("rec") == F.col("pivot")).select("grp", "root")
-    near = clusters.join(root, ["grp", "root"]).join(pivot, "grp").groupBy("node", "n").agg(F.count_distinct("rec").alias("near"))
-    return near.where("near = n").select("node")
+def _majorities(large: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, class, others): the confirmed component that holds most records of
+    a node, and how many records it doesn't hold."""
+    roots = classes.select(F.col("node").alias("rec"), "root")
+    own = large.join(roots, "rec", "left").groupBy("node", "n", F.coalesce("root", "rec").alias("class")).agg(F.count(F.lit(1)).alias("held"))
+    most = own.groupBy("node", "n").agg(F.max(F.struct("held", "class")).alias("m"))
+    return most.select("node", F.col("m.class").alias("class"), (F.col("n") - F.col("m.held")).alias("others"))
+
+
+def _blocks_with_others(large: DataFrame, classes: DataFrame, config: Config) -> DataFrame:
+    """(grp, rec, sig): the node's main component in blocks, and with each block
+    all records outside it. Every pair that could still join two components is
+    in a block, so the node is done. A block holds as many records of the main
+    component as there are others, so rows at most double."""
+    roots = classes.select(F.col("node").alias("rec"), "root")
+    blocks = F.ceil(F.col("n") / F.greatest(F.col("others"), F.lit(config.leaf))).cast("int")
+    own = large.join(roots, "rec", "left").withColumn("main", F.coalesce("root", "rec") == F.col("class"))
+    block = F.explode(F.when(F.col("main"), F.array(F.pmod(F.xxhash64("rec"), blocks).cast("int"))).otherwise(F.sequence(F.lit(0), blocks - 1)))
+    return own.select("node", "rec", "sig", block.alias("block")).select(F.xxhash64("node", "block").alias("grp"), "rec", "sig")
+
+
+def _confirmed(docs: DataFrame, clusters: DataFrame, config: Config) -> DataFrame:
+    """(a, b): links of the records of each cluster, on full sets."""
+    members = clusters.select(F.xxhash64("grp", "root").alias("cluster"), "rec").distinct()
+    sets = _full_sets(docs, members.select("rec").distinct(), config)
+    return _by_group(members.join(sets, "rec").select("cluster", "rec", "shingles", "sig"), "cluster", _confirm(config), ["a", "b"], "a long, b long")
 
 
 def _confirm(config: Config) -> Callable[[int, dict[str, list]], list[tuple]]:
     """(rec, root) confirmed on full sets within a group.
 
-    A set is compared only with sets of other components so far, the most
-    similar first by size, so a group of copies costs about a comparison each.
+    A record is compared with those before it that its sketch doesn't rule out
+    and that lie in another component so far, so a group of near copies costs
+    about a comparison each.
     """
-    percent = config.percent
+    percent, least = config.percent, config.least_equal
 
     def confirm(group: int, held: dict[str, list]) -> list[tuple]:
-        order = sorted({(r, s) for r, s in zip(held["rec"], held["shingles"], strict=True)})
-        sets = [np.frombuffer(s, np.uint64) for _, s in order]
-        recs = [r for r, _ in order]
+        order = sorted({(r, s, g) for r, s, g in zip(held["rec"], held["shingles"], held["sig"], strict=True)})
+        recs = [r for r, _, _ in order]
+        sets = [np.frombuffer(s, np.uint64) for _, s, _ in order]
+        sig = np.frombuffer(b"".join([g for _, _, g in order]), np.uint16).reshape(len(recs), -1)
         union = _Union(len(recs))
-        members: dict[int, list[int]] = {}
         for i, mine in enumerate(sets):
-            joined = []
-            for root, others in members.items():
-                for j in others:
-                    if recs[i] == recs[j]:
-                        joined.append(root)
-                        break
-                    low, high = sorted((len(mine), len(sets[j])))
-                    if 100 * low < percent * high:
-                        continue
+            if i and recs[i] == recs[i - 1]:
+                union.join(i - 1, i)
+            for j in np.flatnonzero((sig[:i] == sig[i]).sum(1) >= least).tolist():
+                if union.find(i) == union.find(j):
+                    continue
+                low, high = sorted((len(mine), len(sets[j])))
+                if 100 * low >= percent * high:
                     both = overlap(mine, sets[j])
                     if 100 * both >= percent * (low + high - both):
-                        joined.append(root)
-                        break
-            for root in joined:
-                union.join(root, i)
-            root = union.find(i)
-            merged = [x for r in joined for x in members.pop(r)]
-            members[root] = [*merged, i]
-        return [(recs[i], recs[union.find(i)]) for i in range(len(recs)) if recs[union.find(i)] != recs[i]]
+                        union.join(i, j)
+        roots = [union.find(i) for i in range(len(recs))]
+        return [(recs[i], recs[r]) for i, r in enumerate(roots) if recs[r] != recs[i]]
 
     return confirm
 
 
 def _full_sets(docs: DataFrame, members: DataFrame, config: Config) -> DataFrame:
-    """(rec, shingles) of the members, from their whole texts."""
+    """(rec, shingles, sig) of the members (rec, each once), from whole texts."""
     n = members.count()
     ids = members.select(F.col("rec").alias("doc_id"))
     held = ids_only(docs, "doc_id", "text").join(F.broadcast(ids) if n <= config.broadcast_ids else ids, "doc_id", "left_semi")
@@ -340,33 +366,40 @@ def _full_sets(docs: DataFrame, members: DataFrame, config: Config) -> DataFrame
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 sets = shingle_sets(bytes_column(batch.column(1)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["rec", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([g.tobytes() for g in signatures(sets, config.places)], pa.binary())], ["rec", "shingles", "sig"])
 
-    return held.mapInArrow(run, "rec long, shingles binary")
+    return held.mapInArrow(run, "rec long, shingles binary, sig binary")
 
 
 def links(docs: DataFrame, reps: DataFrame, config: Config = Config()) -> DataFrame:
     """(node, root) of the records that are linked with another record."""
-    clusters = candidates(reps, config)
-    edges = clusters.select(F.col("rec").alias("a"), F.col("root").alias("b"))
+    clusters, linked = candidates(docs, reps, config)
+    edges = clusters.select(F.col("rec").alias("a"), F.col("root").alias("b")).unionByName(linked)
     families = components(edges)
     sized = families.join(reps.select(F.col("rec").alias("node"), "n_shingles"), "node")
     sizes = sized.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"))
     fits = (F.col("n") <= config.family) & (F.col("shingles") <= config.family_shingles)
     members = materialise(families.join(sizes, "root").select(F.col("node").alias("rec"), F.col("root").alias("family"), fits.alias("fits")), "members")
-    sets = _full_sets(docs, members, config)
-    large = not members.where("NOT fits").isEmpty()
-    if large:
-        sets = materialise(sets, "sets")
-    confirm, names, schema = _confirm(config), ["a", "b"], "a long, b long"
-    small = sets.join(members.where("fits").select("rec", "family"), "rec").select("family", "rec", "shingles")
-    done = _by_group(small, "family", confirm, names, schema)
-    if not large:
+    small = members.where("fits").select("rec", "family")
+    sets = _full_sets(docs, small.select("rec"), config)
+    done = _by_group(small.join(sets, "rec").select("family", "rec", "shingles", "sig"), "family", _confirm(config), ["a", "b"], "a long, b long")
+    large = members.where("NOT fits").select("rec")
+    if large.isEmpty():
         # a family is whole in its task, so its roots are final
         return done.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    open_ = clusters.join(members.where("NOT fits").select("rec"), "rec").select(F.xxhash64("grp", "root").alias("cluster"), "rec").distinct()
-    rest = _by_group(open_.join(sets, "rec").select("cluster", "rec", "shingles"), "cluster", confirm, names, schema)
-    return components(done.unionByName(rest)).where("node <> root")
+    classes = components(linked)
+    whole = materialise(members.where("NOT fits").join(sizes.select(F.col("root").alias("family"), "n"), "family").select(F.col("family").alias("node"), "n", "rec"), "families")
+    sized = _majorities(whole, classes)
+    few = whole.join(sized.where(F.col("others").between(1, config.others)), "node")
+    met = _blocks_with_others(few.withColumn("sig", F.lit(None).cast("binary")), classes, config).select("grp", "rec", F.lit(0).cast("long").alias("root"))
+    # other families: clusters of their nodes that don't lie in one component
+    many = whole.join(sized.where(F.col("others") > config.others), "node").select("rec")
+    named = classes.select(F.col("node").alias("rec"), F.col("root").alias("class"))
+    open_ = clusters.join(many, "rec").join(named, "rec", "left").withColumn("class", F.coalesce("class", "rec"))
+    mixed = open_.groupBy("grp", "root").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("grp", "root")
+    left = open_.join(mixed, ["grp", "root"]).select("grp", "rec", "root")
+    rest = _confirmed(docs, materialise(met.unionByName(left), "mixed"), config)
+    return components(done.unionByName(rest).unionByName(linked)).where("node <> root")
 
 
 def near_duplicates(docs: DataFrame, config: Config = Config()) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from patchloom.llm import components, neardup
 from patchloom.llm.shingles import overlap, shingle_sets
 
@@ -52,10 +54,11 @@ def test_equals_all_pairs(spark):
     assert all(r.kept == (i == r.component_id) for i, r in got.items()) and got[docs[-6][0]].n_shingles == 0
 
 
-def test_large_nodes_and_families(spark):
+@pytest.mark.parametrize("others", [1, 6])
+def test_large_nodes_and_families(spark, others):
     """Small limits send the same documents through blocks, levels and clusters."""
     docs = corpus(2)
-    small = neardup.Config(leaf=4, pivots=2, family=3, levels=3)
+    small = neardup.Config(leaf=4, pivots=2, family=3, levels=3, others=others)
     got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), small).collect()}
     assert got == brute(docs)
 
