@@ -38,9 +38,9 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 #: Runs that a Python worker remembers; the memory starts anew when full.
-CACHE_RUNS = 600_000
+CACHE_RUNS = 400_000
 #: Pairs of pieces that it remembers.
-CACHE_PAIRS = 1_000_000
+CACHE_PAIRS = 600_000
 
 _RUN = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
