@@ -75,6 +75,45 @@ def test_line_dedup_equals_brute_force(spark):
     assert linedup.without_repeats(df.drop("gone").limit(0)).count() == 0
 
 
+def test_growing_distance_equals_brute_force(spark):
+    """Replaced words in lines of all lengths, and repeats of short lines."""
+    rng = random.Random(8)
+    vocabulary = [f"word{i}" for i in range(60)]
+    pool = [[rng.choice(vocabulary) for _ in range(n)] for n in (5, 6, 7, 8, 9, 9, 10, 19, 20, 29, 30, 39, 40, 45, 95)]
+    lines = []
+    for _ in range(150):
+        words = list(rng.choice(pool))
+        for _ in range(rng.randint(0, len(words) // 8 + 1)):
+            at, kind = rng.randrange(len(words)), rng.randint(0, 3)
+            words[at : at + (kind > 0)] = [] if kind == 1 else [rng.choice(vocabulary)]
+        lines.append(" ".join(words))
+    docs = [(i, f"{line}\n\nshort {i % 3}") for i, line in enumerate(lines)]
+    distinct = sorted({x for x in lines if len(x) >= 40})
+    up = {x: x for x in distinct}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for n, a in enumerate(distinct):
+        for b in distinct[n + 1 :]:
+            x, y = a.split(), b.split()
+            longer = max(len(x), len(y))
+            most = max(1, longer // 10) if longer >= 6 else 0
+            if (abs(len(x) - len(y)) <= most and edit_distance(x, y) <= most) or (abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= 2):
+                up[find(a)] = find(b)
+    first, want = {}, {}
+    for i, text in docs:
+        kept = []
+        for at, line in enumerate(text.split("\n")):
+            if not line or first.setdefault(find(line) if line in up else line, (i, at)) == (i, at):
+                kept.append(line)
+        want[i] = "\n".join(kept)
+    got = linedup.without_repeats(spark.createDataFrame(docs, "doc_id long, text string"), linedup.WHOLE).collect()
+    assert {r.doc_id: r.text for r in got} == want
+
+
 def test_windows_equal_brute_force(spark):
     rng = random.Random(6)
     words = [f"w{i}" for i in range(30)]
