@@ -118,3 +118,14 @@ def test_host_runs(spark, part, monkeypatch):
     got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert [got[i] for i in range(8)] == [f"own{i} text" for i in range(8)]
     assert (got[50], got[51], got[52]) == (frame, "", "Big&Bold One word two three four")
+
+
+@pytest.mark.parametrize("part", [10**6, 50])
+def test_copies_of_unmarked_pages_keep_their_text(spark, part, monkeypatch):
+    """Copies are one page: the host's frame goes, the article stays in all."""
+    monkeypatch.setattr(extract, "PART_TOKENS", part)
+    frame, article = " ".join(f"f{i}" for i in range(14)), " ".join(f"w{i}" for i in range(40))
+    rows = [(i, f"http://h.x/a?utm_source={i}", f"<p>{frame}</p><p>{article}</p>") for i in range(5)]
+    rows += [(4, "http://h.x/a?utm_source=4", rows[4][2]), (9, "http://h.x/b", f"<p>{frame}</p><p>own text</p>")]
+    got = [(r.page_id, r.text) for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()]
+    assert sorted(got) == [*((i, article) for i in (0, 1, 2, 3, 4, 4)), (9, "own text")]
