@@ -7,7 +7,9 @@ embeddings and one matrix for each place. A bounded sample gives the start; then
 every training text is passed once on the executors, and the parameters of all
 tasks are averaged by the tokens they saw. Batched matrix products give log
 probabilities that are normalised over all outputs; another word is drawn from
-the counts of the words outside the vocabulary.
+the counts of the words outside the vocabulary, whatever its context. The outputs,
+inputs and dimensions are fixed: they don't grow with the corpus (the README has
+the share of words that the outputs cover).
 
 Counts of the most frequent words reach the Python workers as a bounded table;
 all other words meet their counts in a join, so no count is approximate.
