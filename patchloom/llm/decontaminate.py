@@ -13,7 +13,9 @@ of characters; every block meets all documents in one more pass over the rows,
 and no document leaves its task.
 
 Defined results: a null or wordless text has no words and no hits; items without
-words or without an id are ignored; equal items each count; repeated rows give
+words are ignored; the windows of an item without an id count as hits and name
+no item in the query and in ``decontaminate``, and are ignored by ``match``
+without ``nameless``; equal items each count; repeated rows give
 repeated results; an empty benchmark contaminates nothing.
 """
 
@@ -49,9 +51,9 @@ def windows_of(words: list[bytes], size: int = WINDOW) -> list[tuple[bytes, ...]
     return [tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
 
 
-def blocks_of(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[str, bytes]]]:
+def blocks_of(benchmark: DataFrame, block_chars: int = BLOCK_CHARS, nameless: bool = False) -> Iterator[list[tuple[str | None, bytes]]]:
     """The benchmark's (item_id, text) in blocks of about block_chars."""
-    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
+    items = benchmark.where("text IS NOT NULL" if nameless else "item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // block_chars)
     for block in range(n):
@@ -77,11 +79,11 @@ def count_words(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
 class Index:
     """Windows of a benchmark block by their rarest word."""
 
-    def __init__(self, items: list[tuple[str, bytes]], counts: dict[bytes, int], size: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], counts: dict[bytes, int], size: int = WINDOW):
         owners: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
         for item, text in items:
             for window in windows_of(words_of(text), size):
-                owners[window].add(item)
+                owners[window].update(() if item is None else (item,))
         self.by_prefix: dict[bytes, list[tuple[int, list[bytes], frozenset[str]]]] = defaultdict(list)
         for window, ids in owners.items():
             at = min(range(len(window)), key=lambda i: (counts.get(window[i], 0), window[i], i))
@@ -115,7 +117,7 @@ _ADDED = T.StructType([
 ])
 
 
-def match(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def match(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_chars: int = BLOCK_CHARS, nameless: bool = False) -> DataFrame:
     """docs with n_words, hit_spans (disjoint [start, end) word spans) and
     item_ids (sorted) of the benchmark windows that occur in the text.
 
@@ -124,7 +126,7 @@ def match(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_chars
     spark = docs.sparkSession
     added = {f.name: F.lit(None).cast(f.dataType) for f in _ADDED}
     out = docs.withColumns(added)
-    blocks = blocks_of(benchmark, block_chars)
+    blocks = blocks_of(benchmark, block_chars, nameless)
     for items in blocks:
         vocabulary = {w for _, text in items for w in words_of(text)}
         held = spark.sparkContext.broadcast(Index(items, count_words(docs, vocabulary), size))
@@ -161,12 +163,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     row = F.struct(*[F.col(c) for c in docs.columns])
     held = docs.select(row.alias("row"), F.col("text"))
-    return match(held, benchmark).where(F.size("hit_spans") == 0).select("row.*")
+    return match(held, benchmark, nameless=True).where(F.size("hit_spans") == 0).select("row.*")
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = ids_only(table(spark, sf_dir, "documents"), "doc_id", "text")
-    found = match(docs, table(spark, sf_dir, "benchmark"))
+    found = match(docs, table(spark, sf_dir, "benchmark"), nameless=True)
     hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda acc, x: acc + (x[1] - x[0]).cast("long"))
     # UTF-8 strings sort by bytes in Python, Spark and DuckDB alike
     return found.select(

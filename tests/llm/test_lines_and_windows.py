@@ -126,3 +126,14 @@ def test_windows_equal_brute_force(spark):
             n, hit, ids = decontaminate.brute_force(dict(docs)[r.doc_id], items)
             assert (r.n_words, sum(b - a for a, b in r.hit_spans), list(r.item_ids)) == (n, hit, ids)
     assert decontaminate.match(spark.createDataFrame(docs, "doc_id long, text string"), bench.limit(0)).where("size(item_ids) > 0").count() == 0
+
+
+def test_windows_of_items_without_an_id(spark):
+    """They count as hits and name no item, alone or beside an item with an id."""
+    a, b = " ".join(f"a{i}" for i in range(10)), " ".join(f"b{i}" for i in range(10))
+    bench = spark.createDataFrame([(None, a), (None, b), ("7", b)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"x {a} y"), (2, f"x {b} y"), (3, "x y")], "doc_id long, text string")
+    for block in (10**6, 30):
+        got = {r.doc_id: (sum(e - s for s, e in r.hit_spans), list(r.item_ids)) for r in decontaminate.match(docs, bench, block_chars=block, nameless=True).collect()}
+        assert got == {1: (10, []), 2: (10, ["7"]), 3: (0, [])}
+    assert [r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()] == [3]
