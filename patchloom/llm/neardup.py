@@ -34,12 +34,14 @@ from pyspark.sql import functions as F
 
 from patchloom.llm.common import bytes_column, ids_only, materialise, table
 from patchloom.llm.components import components
-from patchloom.llm.shingles import mix, overlap, shingle_sets
+from patchloom.llm.shingles import SIZE, mix, overlap, shingle_sets
 
 
 @dataclass(frozen=True)
 class Config:
     percent: int = 80
+    #: Words of a shingle.
+    shingle_words: int = SIZE
     trees: int = 10
     places: int = 128
     leaf: int = 256
@@ -84,7 +86,7 @@ def sketch(docs: DataFrame, config: Config = Config()) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                sets = shingle_sets(bytes_column(batch.column(1)))
+                sets = shingle_sets(bytes_column(batch.column(1)), config.shingle_words)
                 prints = np.array([[mix(s).sum(dtype=np.uint64), mix(s + np.uint64(7)).sum(dtype=np.uint64)] for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
                 sig = signatures(sets, config.places)
                 yield pa.RecordBatch.from_arrays(
@@ -365,7 +367,7 @@ def _full_sets(docs: DataFrame, members: DataFrame, config: Config) -> DataFrame
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                sets = shingle_sets(bytes_column(batch.column(1)))
+                sets = shingle_sets(bytes_column(batch.column(1)), config.shingle_words)
                 yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([g.tobytes() for g in signatures(sets, config.places)], pa.binary())], ["rec", "shingles", "sig"])
 
     return held.mapInArrow(run, "rec long, shingles binary, sig binary")

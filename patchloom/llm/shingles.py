@@ -14,7 +14,7 @@ SIZE = 4
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_PLACE = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
+_PLACE = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9C6E6877736C46E3, 0xC3A5C85C97CB3127], np.uint64)
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of texts that are hashed together.
@@ -55,9 +55,9 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(starts, bounds)
 
 
-def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes | None], words_each: int = SIZE) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; none for a wordless text,
-    one for the whole sequence of fewer than SIZE words."""
+    one for the whole sequence of fewer words than a shingle has (8 at most)."""
     out: list[np.ndarray] = []
     at = 0
     while at < len(texts):
@@ -66,14 +66,14 @@ def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
             size += len(texts[end] or b"")
             end += 1
         words, cuts = word_hashes([t or b"" for t in texts[at:end]])
-        n = max(0, len(words) - SIZE + 1)
+        n = max(0, len(words) - words_each + 1)
         sums = np.zeros(n, np.uint64)
-        for i in range(SIZE):
+        for i in range(words_each):
             sums += words[i : i + n] * _PLACE[i]
         all_shingles = mix(sums)
         for a, b in zip(cuts, cuts[1:], strict=False):
-            if b - a >= SIZE:
-                out.append(np.unique(all_shingles[a : b - SIZE + 1]))
+            if b - a >= words_each:
+                out.append(np.unique(all_shingles[a : b - words_each + 1]))
             elif b > a:
                 out.append(mix(np.array([(words[a:b] * _PLACE[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a)], np.uint64)))
             else:

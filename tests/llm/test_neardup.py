@@ -78,6 +78,19 @@ def test_overlap_counts():
     assert (len(a), overlap(a, b)) == (4, 3)
 
 
+def test_pipeline_takes_five_words_a_shingle(spark):
+    """Texts that are near by four words and not by five stay in the pipeline."""
+    import corpus_pipeline
+
+    a = [f"w{i}" for i in range(45)]
+    docs = [(1, " ".join(a)), (2, " ".join([*a[:20], "other", *a[21:]]))]
+    sets = {n: shingle_sets([t.encode() for _, t in docs], n) for n in (4, 5)}
+    assert [(len(x), overlap(x, y)) for x, y in sets.values()] == [(42, 38), (41, 36)]  # 38 of 46, 36 of 46
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert [r.doc_id for r in neardup.drop_near_duplicates(df).collect()] == [1]
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == [1, 2]
+
+
 def test_components_by_rounds(spark, monkeypatch):
     edges = [(i, i + 1) for i in range(60) if i % 20 != 19] + [(5, 5), (99, 99)]
     df = spark.createDataFrame(edges, "a long, b long")
