@@ -8,14 +8,17 @@ labels spans; a text's language is the one that holds most letters.
 Learning counts trigrams (hashed, so bounded) of all training texts on the
 executors. No id, source or label of a row is an input of its prediction.
 
-Defined results: a null text, or one without a letter, is ``und`` with score 0;
-so is every text if no training row has a language. Ties go to the language
-that sorts first. Very long texts are read whole.
+Defined results: a null text, or one without a letter, is ``und`` with score 0
+and no spans; so is every text if no training row has a language. Ties go to the
+language that sorts first. Very long texts are read whole; a word of more than
+``CACHED_LETTERS`` letters is scored each time it comes. Columns of the input
+named like the added ones are replaced.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -41,6 +44,10 @@ _OTHER = len(NAMES) - 1
 
 _WORD = re.compile(r"[^\W\d_]+")
 BITS = 16
+#: Letters of the longest word that a worker remembers, so its memory is bounded.
+CACHED_LETTERS = 40
+#: Distinct words that a learning task gathers before it counts their trigrams.
+GATHERED_WORDS = 200_000
 
 
 @dataclass(frozen=True)
@@ -59,10 +66,12 @@ class Model:
     langs: list[str]
     scores: np.ndarray  # (2 ** BITS, languages): log probability of a trigram
     allowed: np.ndarray  # (scripts, languages): seen in training
-    cache: dict[str, np.ndarray] = field(default_factory=dict)
+    #: The worker's memory: a word's row in known.
+    cache: dict[str, int] = field(default_factory=dict)
+    known: np.ndarray | None = None
 
     def __getstate__(self):
-        return {**self.__dict__, "cache": {}}
+        return {**self.__dict__, "cache": {}, "known": None}
 
 
 def words_of(text: str | None) -> list[str]:
@@ -99,17 +108,31 @@ def fit(docs: DataFrame, config: Config = Config()) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: dict[str, np.ndarray] = {}
         scripts: dict[str, np.ndarray] = {}
+        words: dict[str, Counter] = {}
+
+        def add(lang: str, counted: Counter) -> None:
+            """A distinct word's trigrams are hashed once, and count as often as it."""
+            if lang not in grams:
+                grams[lang], scripts[lang] = np.zeros(1 << BITS, np.int64), np.zeros(len(NAMES), np.int64)
+            times = np.fromiter(counted.values(), np.int64, len(counted))
+            buckets, lengths = trigram_buckets(list(counted))
+            grams[lang] += np.bincount(buckets, np.repeat(times, lengths), minlength=1 << BITS).astype(np.int64)
+            first = np.frombuffer("".join(w[0] for w in counted).encode("utf-32-le", "surrogatepass"), np.uint32)
+            i = np.maximum(np.searchsorted(_STARTS, first, "right") - 1, 0)
+            found = np.where((first >= _STARTS[i]) & (first <= _ENDS[i]), _CODE[i], _OTHER)
+            scripts[lang] += np.bincount(found, times, minlength=len(NAMES)).astype(np.int64)
+            counted.clear()
+
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if words := words_of(text):
-                    if lang not in grams:
-                        grams[lang], scripts[lang] = np.zeros(1 << BITS, np.int64), np.zeros(len(NAMES), np.int64)
-                    buckets, _ = trigram_buckets(words)
-                    np.add.at(grams[lang], buckets, 1) if len(buckets) < 4096 else np.add(grams[lang], np.bincount(buckets, minlength=1 << BITS), out=grams[lang])
-                    first = np.frombuffer("".join(w[0] for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
-                    i = np.maximum(np.searchsorted(_STARTS, first, "right") - 1, 0)
-                    found = np.where((first >= _STARTS[i]) & (first <= _ENDS[i]), _CODE[i], _OTHER)
-                    scripts[lang] += np.bincount(found, minlength=len(NAMES))
+                if found := words_of(text):
+                    mine = words.setdefault(lang, Counter())
+                    mine.update(found)
+                    if len(mine) > GATHERED_WORDS:
+                        add(lang, mine)
+        for lang, counted in words.items():
+            if counted:
+                add(lang, counted)
         for lang, vector in grams.items():
             both = np.concatenate([vector, scripts[lang]])
             at = np.flatnonzero(both)
@@ -127,37 +150,59 @@ def fit(docs: DataFrame, config: Config = Config()) -> Model:
     return Model(config, langs, scores.astype(np.float32), scripts >= np.maximum(1, scripts.sum(0) * 1e-4))
 
 
+def _scored(words: list[str], model: Model) -> np.ndarray:
+    """(words, languages) log probabilities of distinct words."""
+    buckets, lengths = trigram_buckets(words)
+    sums = np.add.reduceat(model.scores[buckets], np.cumsum(lengths) - lengths, axis=0)
+    ok = model.allowed[[script_of(w) for w in words]]
+    # outside the candidates a word counts as one of unknown trigrams
+    some = ok.any(axis=1, keepdims=True)
+    return np.where(ok | ~some, sums, sums.min(axis=1, keepdims=True) - 8.0).astype(np.float32)
+
+
 def word_scores(words: list[str], model: Model) -> np.ndarray:
-    """(words, languages) log probabilities; words known to the worker's memory
-    aren't scored again."""
-    cache = model.cache
-    new = [w for w in dict.fromkeys(words) if w not in cache]
+    """(words, languages) log probabilities; words in the worker's memory aren't
+    scored again. The memory starts anew when it is full."""
+    place, size = model.cache, model.config.cache_words
+    distinct = dict.fromkeys(words)
+    new = [w for w in distinct if w not in place]
+    if len(place) + len(new) > size:
+        place.clear()
+        new = list(distinct)
+    if model.known is None:
+        model.known = np.empty((size, len(model.langs)), np.float32)
+    known = model.known
     if new:
-        if len(cache) + len(new) > model.config.cache_words:
-            cache.clear()
-            new = list(dict.fromkeys(words))
-        buckets, lengths = trigram_buckets(new)
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        sums = np.add.reduceat(model.scores[buckets], starts, axis=0)
-        for word, row in zip(new, sums, strict=True):
-            ok = model.allowed[script_of(word)]
-            # outside the candidates a word counts as one of unknown trigrams
-            cache[word] = row if ok.all() or not ok.any() else np.where(ok, row, row.min() - 8.0)
-    return np.array([cache[w] for w in words], np.float32)
+        rows = _scored(new, model)
+        if len(new) > size or max(map(len, new)) > CACHED_LETTERS:  # beside the memory
+            old = [w for w in distinct if w in place]
+            known = np.concatenate([rows, known[[place[w] for w in old]]]) if old else rows
+            place = {w: i for i, w in enumerate([*new, *old])}
+        else:
+            at = len(place)
+            known[at : at + len(new)] = rows
+            place.update((w, at + i) for i, w in enumerate(new))
+    return known[np.fromiter(map(place.__getitem__, words), np.int64, len(words))]
 
 
 def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     """Best language of each word, with a penalty for each switch.
 
-    If no stretch of words gains more than the penalty in another language than
-    in the one that is best overall, one label for all words is optimal: every
-    visit to another language costs at least one switch for each stretch.
+    One label for all words is optimal, and no table is filled, if against the
+    language that is best overall (1) no stretch of words gains more than the
+    penalty in another language and (2) the best beginning and the best ending
+    don't do so together. For, of a path's foreign stretches, m side by side
+    cost m switches or more wherever they touch a word in the best language,
+    and gain at most as much by (1). Only m of 2 or more that fill the text cost
+    m - 1: the inner ones gain at most m - 2 penalties by (1), and the first and
+    the last one by (2).
     """
     n, k = scores.shape
-    best = int(scores.sum(0).argmax())
+    best = int(scores.sum(0, dtype=np.float64).argmax())
     gains = np.zeros((n + 1, k))
     np.cumsum(scores - scores[:, best : best + 1], axis=0, dtype=np.float64, out=gains[1:])
-    if (gains - np.minimum.accumulate(gains, axis=0)).max() <= penalty:
+    stretch = (gains - np.minimum.accumulate(gains, axis=0)).max()
+    if stretch <= penalty and gains.max() + (gains[-1] - gains).max() <= penalty:
         return np.full(n, best)
     total, back = scores[0].astype(np.float64), np.zeros((n, k), np.int16)
     stay = np.arange(k)
@@ -192,7 +237,8 @@ def label(text: str | None, model: Model) -> tuple[str, float, list[tuple[int, i
 
 
 def identify(docs: DataFrame, model: Model, with_spans: bool = True) -> DataFrame:
-    """docs with lang_pred, score, n_spans and (unless switched off) spans."""
+    """docs with lang_pred, score, n_spans and (unless switched off) spans, the
+    stretches [start, end) of words in one language."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop("lang_pred", "score", "n_spans", "spans")
     span = "array<struct<start:int,end:int,lang:string>>"
@@ -217,4 +263,4 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(docs, config)
     held_out = fold_of("doc_id", config.folds) == config.held_fold
-    return identify(ids_only(docs, "doc_id", "text"), model, with_spans=False).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_spans")
+    return identify(ids_only(docs, "doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_spans", "spans")
