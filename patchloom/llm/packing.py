@@ -11,7 +11,9 @@ and can go on from any slot.
 
 Defined results: null and empty texts have no sequences; a short last sequence
 is padded with the end id (``n_ids`` tells how many ids are real); repeated rows
-are separate sequences; an empty table gives no shards.
+are separate sequences; an empty table gives no shards. Long runs of white space
+are cut out before the pattern sees them, just where the pattern would cut, as
+its engine gives up on runs of some hundred thousand characters.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from __future__ import annotations
 import base64
 import os
 import posixpath
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -36,6 +39,13 @@ RANKS_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: White space from which on a run is cut by hand: such a run is one piece but
+#: for its last character, unless the text ends with it.
+LONG_RUN = 2048
+# fixed value: the code points of the pattern's \s, fewer than those of Python's
+_LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
+
+
 @dataclass(frozen=True)
 class Config:
     length: int = 512
@@ -68,6 +78,17 @@ def _encoder(held):
     return _encoders[held.id]
 
 
+def ids_of(encoder, text: str) -> list[int]:
+    """The text's ids, with long runs of white space cut out by hand."""
+    ids, at = [], 0
+    for run in _LONG_RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoder.encode_ordinary(text[at : run.start()])
+        ids += encoder._encode_single_piece(text[run.start() : end])
+        at = end
+    return ids + encoder.encode_ordinary(text[at:]) if at else encoder.encode_ordinary(text)
+
+
 class _Held:
     """A broadcast vocabulary and the name under which workers keep it."""
 
@@ -114,7 +135,7 @@ def sequences(docs: DataFrame, ranks: dict[bytes, int], config: Config = Config(
                 for i, text in enumerate(batch.column(1).to_pylist()):
                     if not text:
                         continue
-                    data = np.array(encoder.encode_ordinary(text), np.uint16).tobytes() + end
+                    data = np.array(ids_of(encoder, text), np.uint16).tobytes() + end
                     for part, start in enumerate(range(0, len(data), stride)):
                         rows.append(i)
                         parts.append(part)

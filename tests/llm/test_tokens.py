@@ -60,3 +60,25 @@ def test_shards_hold_every_id_once(spark, tmp_path):
             whole.setdefault(r.doc_id, []).extend(np.frombuffer(bytes(r.ids), "<u2")[: r.n_ids].tolist())
     assert whole == {i: [*encoder.encode_ordinary(t), config.end_id] for i, t in texts if t and i != 4}
     assert packing.in_training_order(spark.createDataFrame([], "doc_id long, text string"), ranks, config).count() == 0
+
+
+def test_white_space_is_cut_as_the_pattern_cuts(monkeypatch):
+    import random
+
+    import tiktoken
+
+    encoder = tiktoken.Encoding("t", pat_str=packing.PATTERN, mergeable_ranks=packing.load_ranks(), special_tokens={})
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(["a", "b7", "!", " ", "  ", "\n", "\u3000", "\x1c", "\t \t"]) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    texts += ["x" + " " * 5000 + "y", " " * 5000, "\n" * 3000 + "z" + "\xa0" * 3000, " " * packing.LONG_RUN]
+    for t in texts:
+        assert packing.ids_of(encoder, t) == encoder.encode_ordinary(t)
+    monkeypatch.setattr(packing, "_LONG_RUN", packing.re.compile(packing._LONG_RUN.pattern.replace(str(packing.LONG_RUN), "2")))
+    for t in texts:
+        assert packing.ids_of(encoder, t) == encoder.encode_ordinary(t)
+
+
+def test_very_long_runs(spark):
+    texts = [(1, "x" + " " * 5_000_000 + "y"), (2, "q" * 1_000_000), (3, " \n" * 500_000), (4, "x")]
+    ordered = packing.in_training_order(spark.createDataFrame(texts, "doc_id long, text string"), packing.load_ranks())
+    assert {r.doc_id for r in ordered.select("doc_id").distinct().collect()} == {1, 2, 3, 4}
