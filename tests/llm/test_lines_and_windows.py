@@ -69,10 +69,12 @@ def test_line_dedup_equals_brute_force(spark):
         first.setdefault(find(line), (i, at))
     gone = {(i, at) for i, at, line in order if first[find(line)] != (i, at)}
     want = {i: None if t is None else "\n".join(x for at, x in enumerate(t.split("\n")) if (i, at) not in gone) for i, t in docs}
-    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("gone", F.lit("clash"))
-    got = linedup.without_repeats(df.drop("gone")).collect()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    clash = {c: F.lit("clash") for c in ("gone", "_id", "_row", "place", "k", "line", "given", "n_lines", "n_gone")}
+    got = linedup.without_repeats(df.withColumns(clash)).collect()
     assert {r.doc_id: r.text for r in got} == want and sum(r.n_gone for r in got) == len(gone) > 0
-    assert linedup.without_repeats(df.drop("gone").limit(0)).count() == 0
+    assert all(r.gone == r._id == r._row == r.given == "clash" and isinstance(r.n_lines, int) for r in got)
+    assert linedup.without_repeats(df.limit(0)).count() == 0
 
 
 def test_growing_distance_equals_brute_force(spark):
