@@ -204,18 +204,20 @@ def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     stretch = (gains - np.minimum.accumulate(gains, axis=0)).max()
     if stretch <= penalty and gains.max() + (gains[-1] - gains).max() <= penalty:
         return np.full(n, best)
-    total, back = scores[0].astype(np.float64), np.zeros((n, k), np.int16)
-    stay = np.arange(k)
-    for i in range(1, n):
-        top = int(total.argmax())
-        moved = total[top] - penalty > total
-        back[i] = np.where(moved, top, stay)
-        total = np.where(moved, total[top] - penalty, total) + scores[i]
-    path = np.empty(n, np.int64)
-    path[-1] = int(total.argmax())
-    for i in range(n - 1, 0, -1):
-        path[i - 1] = back[i, path[i]]
-    return path
+    # few languages: plain lists are quicker than arrays of their number
+    rows, back = scores.astype(np.float64).tolist(), []
+    total = rows[0]
+    for row in rows[1:]:
+        most = max(total)
+        floor, top = most - penalty, total.index(most)
+        back.append([top if t < floor else -1 for t in total])  # -1: no switch
+        total = [(floor if t < floor else t) + s for t, s in zip(total, row, strict=True)]
+    at = total.index(max(total))
+    path = [at]
+    for before in reversed(back):
+        at = at if before[at] < 0 else before[at]
+        path.append(at)
+    return np.array(path[::-1])
 
 
 def label(text: str | None, model: Model) -> tuple[str, float, list[tuple[int, int, str]]]:

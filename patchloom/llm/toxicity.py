@@ -4,10 +4,14 @@ log-count ratios, trained on labelled text.
 A text's features are the distinct hashed character n-grams of its lower-cased
 whole text. Each is scaled by the log ratio of its smoothed share among toxic
 and other training texts; logistic regression is fitted on the scaled features.
+A feature counts if its two shares differ by more than ``least_errors`` standard
+errors: less is what chance does, at any size of the sample. No other feature is
+left out, and their number follows the texts.
 
 Labelled training rows are bounded by ``Config.rows_per_class`` for each class,
 those with the smallest hash of their id; this bound makes the ids safe to
-broadcast and the model small. Everything else covers all rows and whole texts.
+broadcast, and the fit, which runs on the driver, as long at every size of the
+input. Everything else covers all rows and whole texts.
 
 Defined results: a null or empty text has no n-grams and gets the model's
 intercept; null labels are ignored; an id labelled twice counts as toxic if one
@@ -33,7 +37,7 @@ class Config:
     orders: tuple[int, ...] = (3, 4, 5)
     bits: int = 18
     rows_per_class: int = 3000
-    n_features: int = 3072
+    least_errors: float = 2.0
     smoothing: float = 1.0
     l2: float = 2e-3
     steps: int = 300
@@ -116,10 +120,9 @@ def _count(sample: DataFrame, config: Config) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _matrix(sample: DataFrame, config: Config, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Presence of the chosen features in the training rows, and the labels."""
-    wanted = np.zeros(1 << config.bits, bool)
-    wanted[features] = True
+def _features(sample: DataFrame, config: Config, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, feature) of the wanted features that training rows hold, features
+    numbered by bucket, and the rows' labels."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,12 +132,11 @@ def _matrix(sample: DataFrame, config: Config, features: np.ndarray) -> tuple[np
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(held, pa.binary())], ["toxic", "held"])
 
     got = sample.mapInArrow(rows, "toxic int, held binary").orderBy("toxic", "held").toArrow()
-    place = np.full(1 << config.bits, -1, np.int64)
-    place[features] = np.arange(len(features))
-    x = np.zeros((got.num_rows, len(features)), np.float32)
-    for i, held in enumerate(got.column("held").to_pylist()):
-        x[i, place[np.frombuffer(held, np.int32)]] = 1
-    return x, got.column("toxic").to_numpy().astype(np.float32)
+    held = [np.frombuffer(x, np.int32) for x in got.column("held").to_pylist()]
+    place = np.cumsum(wanted) - 1
+    row = np.repeat(np.arange(len(held), dtype=np.int32), [len(x) for x in held])
+    feature = place[np.concatenate(held)] if held else np.zeros(0, np.int64)
+    return row, feature.astype(np.int32), got.column("toxic").to_numpy().astype(np.float64)
 
 
 def fit(docs: DataFrame, labels: DataFrame, config: Config = Config()) -> Model:
@@ -148,22 +150,22 @@ def fit(docs: DataFrame, labels: DataFrame, config: Config = Config()) -> Model:
     a = config.smoothing
     p, q = (toxic + a) / (sizes[1] + 2 * a), (clean + a) / (sizes[0] + 2 * a)
     ratio = np.log(p / q)
-    # the features whose shares differ most, measured in standard errors
     spread = np.abs(p - q) / np.sqrt(p * (1 - p) / sizes[1] + q * (1 - q) / sizes[0] + 1e-9)
-    features = np.sort(np.argsort(-spread, kind="stable")[: config.n_features])
-    x, y = _matrix(sample, config, features)
-    x *= ratio[features].astype(np.float32)
-    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())).astype(np.float32)
-    w, b, gw, gb = np.zeros(x.shape[1], np.float32), 0.0, np.full(x.shape[1], 1e-8, np.float32), 1e-8
+    wanted = spread > config.least_errors
+    row, feature, y = _features(sample, config, wanted)
+    n, k = len(y), int(wanted.sum())
+    x = ratio[wanted][feature]
+    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    w, b, gw, gb = np.zeros(k), 0.0, np.full(k, 1e-8), 1e-8
     for _ in range(config.steps):
-        z = np.clip(x @ w + b, -30, 30)
+        z = np.clip(np.bincount(row, w[feature] * x, minlength=n) + b, -30, 30)
         err = (1 / (1 + np.exp(-z)) - y) * share
-        dw, db = x.T @ err + config.l2 * w, float(err.sum())
+        dw, db = np.bincount(feature, err[row] * x, minlength=k) + config.l2 * w, float(err.sum())
         gw += dw * dw
         gb += db * db
         w -= 0.1 * dw / np.sqrt(gw)
         b -= 0.1 * db / np.sqrt(gb)
-    weights[features] = w * ratio[features]
+    weights[wanted] = w * ratio[wanted]
     return Model(config, weights, float(b))
 
 
