@@ -52,15 +52,15 @@ class Config:
     folds: int = 5
     held_fold: int = 1
     #: Frequent words that are classes of their own, the end among them.
-    singles: int = 256
+    singles: int = 32
     #: Words with an output vector of their own, and of a class of such words.
-    outputs: int = 32_768
-    class_words: int = 256
+    outputs: int = 16_384
+    class_words: int = 128
     #: Words with an input vector of their own beside that of their class.
     inputs: int = 2048
     size: int = 16
     noise: int = 64
-    word_noise: int = 4
+    word_noise: int = 2
     batch: int = 8192
     #: Topics, and the frequent words of the sample that tell them apart.
     topics: int = 8
@@ -71,7 +71,7 @@ class Config:
     start_passes: int = 12
     start_rate: float = 0.12
     rate: float = 0.03
-    part_tokens: int = 1_000_000
+    part_tokens: int = 2_000_000
     most_parts: int = 65_536
     #: Words whose counts and classes each Python worker holds.
     table_words: int = 300_000
@@ -341,12 +341,14 @@ class Trainer:
         drawn = np.bincount(self.rng.choice(c.n, m.noise, p=c.noise), minlength=c.n).astype(np.float32)
         taken = np.flatnonzero(drawn)
         bias = out[:, -1] - np.log(m.noise * c.noise).astype(np.float32)
-        g = np.zeros((n, c.n), np.float32)
-        g[:, taken] = _sigmoid(h @ out[taken, :-1].T + bias[taken]) * drawn[taken]
-        g[np.arange(n), x.target] += _sigmoid(np.einsum("ij,ij->i", h, out[x.target, :-1]) + bias[x.target]) - 1
-        g /= n
-        dh = g @ out[:, :-1]
-        d_out = np.concatenate([g.T @ h, g.sum(0)[:, None]], 1)
+        g = _sigmoid(h @ out[taken, :-1].T + bias[taken])
+        g *= drawn[taken] / n
+        rows = out[x.target, :-1]
+        data = (_sigmoid(np.einsum("ij,ij->i", h, rows) + bias[x.target]) - 1) / n
+        dh = g @ out[taken, :-1] + data[:, None] * rows
+        d_out = _sum_rows(x.target, np.concatenate([data[:, None] * h, data[:, None]], 1), c.n)
+        d_out[taken, :-1] += g.T @ h
+        d_out[taken, -1] += g.sum(0)
         # words of their class, against words drawn from it by count
         mine = np.flatnonzero(x.slot >= 0)
         if len(mine):
@@ -356,10 +358,10 @@ class Trainer:
             noise = np.clip(np.searchsorted(self.sums, u, "right") - 1, c.bounds[at][:, None], c.bounds[at + 1][:, None] - 1)
             ids = np.concatenate([x.slot[mine][:, None], noise], 1)
             rows, hs = within[ids], h[mine]
-            gw = _sigmoid(np.einsum("mkd,md->mk", rows[:, :, :-1], hs) + rows[:, :, -1] - np.log(m.word_noise)).astype(np.float32)
+            gw = _sigmoid((rows[:, :, :-1] @ hs[:, :, None])[:, :, 0] + rows[:, :, -1] - np.float32(np.log(m.word_noise)))
             gw[:, 0] -= 1
             gw /= n
-            dh[mine] += np.einsum("mk,mkd->md", gw, rows[:, :, :-1])
+            dh[mine] += (gw[:, None, :] @ rows[:, :, :-1])[:, 0]
             flat = ids.ravel()
             order = np.argsort(flat, kind="stable")
             places = flat[order]
@@ -443,12 +445,15 @@ def train_on_all(train: DataFrame, model: Model) -> Model:
 
 
 def _picked_log_softmax(scores: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """Natural log probability of the picked column; scores are overwritten."""
+    """Natural log probability of the picked column; scores are overwritten.
+    Large ones are first taken down by each row's greatest."""
     found = scores[np.arange(len(scores)), picked]
-    top = scores.max(1)
-    scores -= top[:, None]
+    top = 0.0
+    if max(scores.max(initial=0), -scores.min(initial=0)) > 60:
+        top = scores.max(1)
+        scores -= top[:, None]
     np.exp(scores, out=scores)
-    return found - top - np.log(scores.sum(1))
+    return found - top - np.log(scores @ np.ones(scores.shape[1], np.float32))
 
 
 def log_probabilities(model: Model, x: Tokens) -> np.ndarray:
