@@ -256,13 +256,14 @@ def test_no_text_is_lost_and_no_frame_kept(page, want):
 def naive_clean(texts, frames, sure, size):
     """Runs found by comparing every two places, with the rules of extract."""
     streams = [*texts, *frames]
+    inside = [*sure, *([False] * len(f) for f in frames)]
 
-    def held(i, kind, allowed):
+    def held(i, allowed):
         out = []
         for a in range(len(texts[i]) - size + 1):
             run = texts[i][a : a + size]
             for q, stream in enumerate(streams):
-                if q % len(texts) != i and (q >= len(texts) or (kind == "any" and allowed(q))) and any(stream[b : b + size] == run for b in range(len(stream) - size + 1)):
+                if q % len(texts) != i and (q >= len(texts) or allowed(q)) and any(stream[b : b + size] == run and not any(inside[q][b : b + size]) for b in range(len(stream) - size + 1)):
                     out.append(a)
                     break
         return {t for a in out for t in range(a, a + size)}
@@ -276,12 +277,11 @@ def naive_clean(texts, frames, sure, size):
         return len(left) < extract.MIRROR_SHARE * len(texts[i]) and longest < size
 
     free = [{t for t in range(len(x)) if not s[t]} for x, s in zip(texts, sure, strict=True)]
-    first = [held(i, "any", lambda q: True) & free[i] for i in range(len(texts))]
-    mirror = [bool(free[i]) and nearly(i, first[i]) for i in range(len(texts))]
+    first = [held(i, lambda q: True) & free[i] for i in range(len(texts))]
+    mirror = [bool(first[i]) and nearly(i, first[i]) for i in range(len(texts))]
     out = []
     for i, tokens in enumerate(texts):
-        gone = held(i, "any", lambda q: not mirror[q]) & free[i] if mirror[i] else first[i]
-        gone |= held(i, "frame", None) - free[i]
+        gone = held(i, lambda q: not mirror[q]) & free[i] if mirror[i] else first[i]
         out.append(tokens if not gone or nearly(i, gone) else [t for a, t in enumerate(tokens) if a not in gone])
     return out
 
@@ -306,20 +306,32 @@ def test_shared_runs_equal_all_substrings():
 
 
 @pytest.mark.parametrize("part", [10**6, 60])
-def test_mirrors_and_frames_in_articles(spark, part, monkeypatch):
-    """Near copies of an unmarked page keep their text but for the host's frame;
-    a marked article loses what the host's frame holds, and nothing else."""
+def test_mirrors_keep_their_text(spark, part, monkeypatch):
+    """Near copies of an unmarked page keep their text but for the host's frame."""
     monkeypatch.setattr(extract, "PART_TOKENS", part)
     frame, article = " ".join(f"f{i}" for i in range(14)), " ".join(f"w{i}" for i in range(60))
     own = " ".join(f"o{i}" for i in range(30))
     rows = [(i, "http://h.x/a", f"<p>{frame}</p><p>{article} copy{i}</p>") for i in (1, 2)]
-    rows += [(3, "http://h.x/b", f"<p>{frame}</p><p>{own}</p>"), (4, "http://h.x/c", f"<article><p>{own} x</p><p>{frame}</p></article>")]
-    rows += [(i, "http://h.x/d", f"<footer>{frame}</footer><article>art{i}</article>") for i in (5, 6)]
+    rows += [(3, "http://h.x/b", f"<p>{frame}</p><p>{own}</p>"), (4, "http://h.x/c", f"<main>{frame}<article><p>{own}</p><p>{frame}</p></article></main>")]
     got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     if part > 60:
         assert (got[1], got[2]) == (f"{article} copy1", f"{article} copy2")
     assert got[1].endswith(f"{article} copy1") and got[2].endswith(f"{article} copy2")
-    assert (got[4], got[5], got[6]) == (f"{own} x", "art5", "art6")
+    assert got[3] == own and got[4] == f"{own} {frame}"
+
+
+@pytest.mark.parametrize("held", [10**6, 0])
+def test_repeated_frames_leave_articles(spark, held, monkeypatch):
+    """By held grams and by a join: an article loses what the frames of two pages
+    of its host hold, but never all of its text, and nothing else."""
+    monkeypatch.setattr(extract, "HELD_GRAMS", held)
+    frame, own = " ".join(f"f{i}" for i in range(14)), " ".join(f"o{i}" for i in range(30))
+    once = " ".join(f"g{i}" for i in range(14))
+    rows = [(i, "http://h.x/d", f"<footer>{frame} {i}</footer><article>art{i}</article>") for i in (5, 6)]
+    rows += [(7, "http://h.x/e", f"<nav>{once}</nav><article>{own} x {frame} y</article>"), (8, "http://h.x/f", f"<article>{once} {own}</article>")]
+    rows += [(9, "http://h.x/g", f"<article>{frame}</article>"), (10, "http://other/", f"<article>{own} {frame}</article>")]
+    got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {5: "art5", 6: "art6", 7: f"{own} x y", 8: f"{once} {own}", 9: frame, 10: f"{own} {frame}"}
 
 
 def test_pages_with_clashing_columns_and_none(spark):
