@@ -66,22 +66,24 @@ def line_sets(diff: str | None) -> list[dict]:
 
 def line_numbers(diff: str | None) -> list[dict]:
     """Changed old and new line numbers of each file. A hunk that changes one
-    side only gives the other side its first line as an anchor."""
+    side only gives the other side its first line as an anchor, unless that side
+    has no line at all (``-0,0``)."""
     out = []
     for old, new, lines in split_files(diff):
         sides: tuple[set[int], set[int]] = (set(), set())
-        at, seen, first = [0, 0], [False, False], [0, 0]
+        at, seen, first, none = [0, 0], [False, False], [0, 0], [False, False]
 
-        def close(sides=sides, seen=seen, first=first) -> None:
+        def close(sides=sides, seen=seen, first=first, none=none) -> None:
             for side in (0, 1):
-                if seen[1 - side] and not seen[side]:
+                if seen[1 - side] and not seen[side] and not none[side]:
                     sides[side].add(first[side])
 
         for line in lines:
             if m := _HUNK.match(line):
                 close()
-                at[:] = first[:] = [int(m[1]), int(m[3])]
+                at[:] = first[:] = [max(1, int(m[1])), max(1, int(m[3]))]
                 seen[:] = [False, False]
+                none[:] = [m[1] == "0", m[3] == "0"]
             elif line[:1] in ("-", "+"):
                 side = "-+".index(line[0])
                 sides[side].add(at[side])

@@ -53,7 +53,7 @@ def commit_parts(c: Column) -> Column:
     """
     raw = F.trim(text(c))
     repo = F.regexp_replace(F.regexp_extract(raw, r"(?i)github\.com/([^/]+/[^/#?]+)", 1), r"\.git$", "")
-    named = F.try_element_at(F.regexp_extract_all(raw, F.lit(r"(?i)/commits?/([0-9a-f]{7,64})(?![0-9a-f])"), F.lit(1)), F.lit(-1))
+    named = F.try_element_at(F.regexp_extract_all(raw, F.lit(r"(?i)/commits?/([0-9a-f]{7,64})(?=[/?#]|$)"), F.lit(1)), F.lit(-1))
     free = F.try_element_at(F.regexp_extract_all(raw, F.lit(r"(?i)(?<![0-9a-f])([0-9a-f]{7,64})(?![0-9a-f])"), F.lit(1)), F.lit(-1))
     sha = F.lower(F.coalesce(named, free))
     repository = F.when(repo != "", repo)
@@ -63,11 +63,26 @@ def commit_parts(c: Column) -> Column:
         repository.alias("repository"),
         F.lower(repository).alias("repository_id"),
         sha.alias("commit_id"),
-        F.when(both, F.concat(F.lit("https://github.com/"), repository, F.lit("/commit/"), sha)).alias("canonical_url"),
+        F.when(both, F.concat(F.lit("https://github.com/"), repository, F.lit("/commit/"), sha)).otherwise(F.nullif(raw, F.lit(""))).alias("canonical_url"),
         F.when(both, F.concat(F.lower(repository), F.lit("@"), sha)).otherwise(raw).alias("join_key"),
     )
 
 
+def with_repository(parts: Column, repository: Column) -> Column:
+    """commit_parts with the repository of another field where it has none."""
+    name = F.coalesce(parts["repository"], clean_repository(repository))
+    both = name.isNotNull() & parts["commit_id"].isNotNull()
+    rebuilt = F.struct(
+        parts["raw"].alias("raw"),
+        name.alias("repository"),
+        F.lower(name).alias("repository_id"),
+        parts["commit_id"].alias("commit_id"),
+        F.when(both, F.concat(F.lit("https://github.com/"), name, F.lit("/commit/"), parts["commit_id"])).otherwise(parts["canonical_url"]).alias("canonical_url"),
+        F.when(both, F.concat(F.lower(name), F.lit("@"), parts["commit_id"])).otherwise(parts["join_key"]).alias("join_key"),
+    )
+    return F.when(parts["repository"].isNull(), rebuilt).otherwise(parts)
+
+
 def lookup_keys(parts: Column) -> Column:
     """The three forms under which a commit may be listed."""
     sha = F.when(parts["commit_id"].isNotNull(), F.concat(F.lit("sha:"), parts["commit_id"]))
@@ -164,6 +179,22 @@ def labels_of(cwes: Column, place: int = 0) -> Column:
     return F.array_sort(F.array_distinct(F.array_compact(F.transform(cwes, lambda x: F.try_element_at(table, x)))))
 
 
+def labels_in_order(cwes: Column) -> Column:
+    """Labels of the target weaknesses in the order of the weaknesses."""
+    table = F.create_map(*[x for k, v in TARGETS.items() for x in (F.lit(k), F.lit(v[0]))])
+    return F.array_compact(F.transform(cwes, lambda x: F.try_element_at(table, x)))
+
+
+def signature(c: Column) -> Column:
+    """A method's signature without spaces."""
+    return F.replace(F.trim(text(c)), F.lit(" "), F.lit(""))
+
+
+def commit_link(repository_url: Column, sha: Column) -> Column:
+    """The commit's link of a repository's URL, with or without ``.git``."""
+    return F.concat(F.regexp_replace(repository_url, r"\.git$", ""), F.lit("/commit/"), sha)
+
+
 def target_label(variant: Column, vulnerable: Column, cwes: Column) -> Column:
     safe = (variant == "after") | ~vulnerable
     return F.when(safe, F.lit("SAFE")).when(F.size(cwes) == 1, cwes[0]).otherwise(F.raise_error(F.lit("a vulnerable sample needs exactly one weakness")))

@@ -151,6 +151,26 @@ def code_facts(code: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["valid", "has_function", "error", "normalized", "credentials"])
 
 
+@arrow_udf("boolean")
+def parses(source: pd.Series) -> pd.Series:
+    """Whether a whole file parses; null stays null."""
+
+    def whole(s: str) -> bool:
+        try:
+            ast.parse(s)
+        except (SyntaxError, ValueError, RecursionError, MemoryError):
+            return False
+        return True
+
+    return source.map(whole, na_action="ignore").astype("boolean")
+
+
+@arrow_udf("boolean")
+def binds(code: pd.Series, name: pd.Series) -> pd.Series:
+    """Whether a text assigns the name at its top level."""
+    return pd.Series([has_binding(c, n) for c, n in zip(code, name, strict=True)], dtype=bool)
+
+
 @arrow_udf(f"array<struct<{', '.join(x.replace(' ', ':', 1) for x in SPAN.split(', '))}>>")
 def spans_of(source: pd.Series) -> pd.Series:
     return source.map(lambda s: [dict(zip(("qname", "start", "end", "code"), x, strict=True)) for x in function_spans(s)])

@@ -27,22 +27,60 @@ def contains(start: Column, end: Column, low: Column, high: Column) -> Column:
     return F.when(low == high, (start <= low) & (low <= end)).otherwise((start <= low) & (high <= end))
 
 
+def sliced(code: Column, offsets: Column, max_tokens: int, overlap: int, special: int = 2) -> Column:
+    """Array of the chunks of one text: windows over its token offsets (start,
+    end), with the text between and its token count, special tokens included."""
+    made = windows(offsets, max_tokens - special, overlap)
+
+    def chunk(w: Column) -> Column:
+        start, end = F.get(offsets, w["token_start"])["start"], F.get(offsets, w["token_end"] - 1)["end"]
+        return F.struct(
+            w["chunk_index"].alias("chunk_index"), w["token_start"].alias("token_start"), w["token_end"].alias("token_end"),
+            start.alias("char_start"), end.alias("char_end"), F.substring(code, start + 1, end - start).alias("chunk_code"),
+            (w["token_end"] - w["token_start"] + special).cast("int").alias("chunk_token_count"),
+        )
+
+    return F.transform(made, chunk)
+
+
+def fit_to_limit(code: Column, offsets: Column, max_tokens: int, special: int = 2) -> Column:
+    """The text cut behind the last token that still fits."""
+    room = max_tokens - special
+    return F.when(F.size(offsets) <= room, code).otherwise(F.substring(code, F.lit(1), F.get(offsets, F.lit(room - 1))["end"]))
+
+
+def with_regions(made: Column, regions: Column) -> Column:
+    """The chunks with contains_patch and redundant: all the regions that a
+    chunk touches lie whole in a better chunk of the text, one with more whole
+    regions, or as many and a smaller index. Chunks are compared with all that
+    touch a region, redundant ones too; nothing leaves the row."""
+
+    def scored(c: Column) -> Column:
+        touched = F.filter(regions, lambda r: overlaps(c["char_start"], c["char_end"], r["char_start"], r["char_end"]))
+        whole = F.filter(regions, lambda r: contains(c["char_start"], c["char_end"], r["char_start"], r["char_end"]))
+        return F.struct(c.alias("c"), touched.alias("touched"), whole.alias("whole"))
+
+    def marked(all_chunks: Column) -> Column:
+        def better(s: Column, o: Column) -> Column:
+            a, b = F.size(o["whole"]), F.size(s["whole"])
+            ahead = (a > b) | ((a == b) & (o["c"]["chunk_index"] < s["c"]["chunk_index"]))
+            return (o["c"]["chunk_index"] != s["c"]["chunk_index"]) & ahead & (F.size(F.array_except(s["touched"], o["whole"])) == 0)
+
+        patched = F.filter(all_chunks, lambda s: F.size(s["touched"]) > 0)
+        return F.transform(all_chunks, lambda s: F.struct(
+            s["c"].alias("c"), (F.size(s["touched"]) > 0).alias("contains_patch"),
+            ((F.size(s["touched"]) > 0) & F.exists(patched, lambda o: better(s, o))).alias("redundant")))
+
+    return F.transform(F.array(F.transform(made, scored)), marked)[0]
+
+
 def prune_dominated(chunks: DataFrame, group: list[str], regions: str) -> DataFrame:
-    """Drops a chunk whose regions all lie whole in a better chunk of its group:
-    one with more whole regions, or as many and a smaller index.
-
-    The comparison is with all chunks of the group, dropped ones too, so one
-    anti join is exact.
-    """
-    r = F.col(regions)
-    touched = F.transform(F.filter(r, lambda x: overlaps(F.col("char_start"), F.col("char_end"), x["char_start"], x["char_end"])), lambda x: x)
-    whole = F.filter(r, lambda x: contains(F.col("char_start"), F.col("char_end"), x["char_start"], x["char_end"]))
-    scored = chunks.withColumns({"_touched": touched, "_whole": whole})
-    other = scored.select(*group, F.col("chunk_index").alias("_index"), F.col("_whole").alias("_other"))
-    mine = scored.select(*group, "chunk_index", "_touched", F.size("_whole").alias("_score"))
-    better = (F.size("_other") > F.col("_score")) | ((F.size("_other") == F.col("_score")) & (F.col("_index") < F.col("chunk_index")))
-    lost = mine.join(other, group).where((F.size("_touched") > 0) & (F.col("_index") != F.col("chunk_index")) & (F.size(F.array_except("_touched", "_other")) == 0) & better)
-    return chunks.join(lost.select(*group, "chunk_index").distinct(), [*group, "chunk_index"], "left_anti")
+    """Drops redundant chunks (see with_regions) of a table of chunks. A group is
+    the chunks of one text, whose number its length bounds."""
+    fields = [c for c in chunks.columns if c not in (*group, regions)]
+    gathered = chunks.groupBy(*group).agg(F.collect_list(F.struct(*fields)).alias("_made"), F.first(regions).alias(regions))
+    marked = gathered.select(*group, regions, F.explode(with_regions(F.col("_made"), F.col(regions))).alias("_m")).where("NOT _m.redundant")
+    return marked.select(*[F.col(c) if c in (*group, regions) else F.col(f"_m.c.{c}") for c in chunks.columns])
 
 
 def both_sides_survive(chunks: DataFrame, parent: str, variant: str, eligible: Column) -> DataFrame:

@@ -22,18 +22,21 @@ def score_candidates(groups: DataFrame, files: DataFrame, on: str) -> DataFrame:
     return scored.withColumn("score", 10 * (F.col("deleted_hits") + F.col("added_hits")) + F.least("context_hits", F.lit(6)) + 2 * F.col("name_hits"))
 
 
-def best_with_ties(scored: DataFrame, group: list[str], score: str, name: str) -> DataFrame:
-    """The best row of each group, the score behind it, and the first five."""
+def best_with_ties(scored: DataFrame, group: list[str], score: str, name: str, shown: str | None = None) -> DataFrame:
+    """The best row of each group, the score behind it, and the first five as
+    text: name=score, or the column shown."""
     order = Window.partitionBy(*group).orderBy(F.desc(score), name)
     ranked = scored.withColumns({"_rank": F.row_number().over(order), "runner_up": F.lead(score).over(order)})
     top = ranked.where("_rank <= 5")
-    listed = top.groupBy(*group).agg(F.concat_ws(";", F.transform(F.array_sort(F.collect_list(F.struct("_rank", F.concat_ws("=", F.col(name).cast("string"), F.col(score).cast("string")).alias("x")))), lambda s: s["x"])).alias("candidates"))
+    listed = top.groupBy(*group).agg(F.concat_ws(";", F.transform(F.array_sort(F.collect_list(F.struct("_rank", (F.col(shown) if shown else F.concat_ws("=", F.col(name).cast("string"), F.col(score).cast("string"))).alias("x")))), lambda s: s["x"])).alias("candidates"))
     return top.where("_rank = 1").drop("_rank").join(listed, group)
 
 
 def outcome(best: DataFrame) -> Column:
-    """resolved, or why a group's path isn't."""
+    """resolved, or why a group's path isn't. A side that has code must meet a
+    changed line of its own."""
     c = F.col
-    side = ((F.size("before_lines") > 0) & (c("deleted_hits") == 0)) | ((F.size("after_lines") > 0) & (c("added_hits") == 0))
+    side = (c("has_before") & (c("deleted_hits") == 0)) | (c("has_after") & (c("added_hits") == 0))
     weak = (c("deleted_hits") + c("added_hits") < 2) & (c("name_hits") == 0)
-    return F.when(c("score") == 0, "no_code_match").when(side, "missing_before_or_after_change_match").when(c("runner_up") == c("score"), "ambiguous_equal_score").when(weak, "weak_match").otherwise("resolved")
+    none = F.coalesce(c("score") == 0, F.lit(True))
+    return F.when(none, "no_code_match").when(side, "missing_before_or_after_change_match").when(c("runner_up") == c("score"), "ambiguous_equal_score").when(weak, "weak_match").otherwise("resolved")

@@ -41,3 +41,17 @@ def class_weights(df: DataFrame, label: str, labels: DataFrame) -> DataFrame:
     totals = df.agg(F.count(F.lit(1)).alias("total")).crossJoin(labels.agg(F.count(F.lit(1)).alias("k")))
     weight = F.col("total") / (F.col("k") * F.greatest(F.coalesce("n", F.lit(0)), F.lit(1)))
     return labels.join(counts, "label", "left").crossJoin(F.broadcast(totals)).select("label", weight.cast("double").alias("weight"))
+
+
+def classification(df: DataFrame, truth: str, predicted: str, labels: DataFrame) -> DataFrame:
+    """One row: accuracy, macro-F1 over all labels of the dimension, samples."""
+    each = multiclass(df, truth, predicted, labels)
+    macro = each.agg(F.coalesce(F.avg("f1"), F.lit(0.0)).alias("macro_f1"))
+    total = df.agg(_ratio(F.count_if(F.col(truth) == F.col(predicted)), F.count(F.lit(1))).alias("accuracy"), F.count(F.lit(1)).alias("samples"))
+    return total.crossJoin(F.broadcast(macro))  # one row each
+
+
+def predictions(df: DataFrame, key: str, truth: str, predicted: str, names: list[str]) -> DataFrame:
+    """Rows of an evaluation as they are exported: ids, names and whether right."""
+    table = F.array(*[F.lit(n) for n in names])
+    return df.select(key, F.get(table, F.col(truth)).alias("truth"), F.get(table, F.col(predicted)).alias("prediction"), (F.col(truth) == F.col(predicted)).alias("correct"))

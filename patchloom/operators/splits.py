@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patchloom.operators.numbering import by_hash, rank_within
+
 
 def seeded(seed: int, *columns: Column) -> Column:
     """A reproducible order: the hash of the seed and the row's key."""
     return F.sha2(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in columns]), 256)
 
 
+def _ranked(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
+    """df with _rank, by seeded hash within the label, and _n, its rows."""
+    drawn = df.withColumn("_drawn", seeded(seed, F.col(key)))
+    sizes = df.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))  # a row for each label
+    ranked = rank_within(drawn, [label], [F.col("_drawn"), F.col(key)], by_hash(F.col("_drawn")), "_rank").drop("_drawn")
+    return ranked.join(sizes, F.col(label).eqNullSafe(F.col("_label"))).drop("_label")
+
+
 def split_counts(n: Column, validation: float, test: float) -> tuple[Column, Column]:
     """(test, validation) groups of n, half-even, one at least, shrunk until a
     training group is left. With three groups or more the two shrink in turn,
@@ -32,9 +42,8 @@ def split_counts(n: Column, validation: float, test: float) -> tuple[Column, Col
 def allocate_groups(groups: DataFrame, label: str, group: str, seed: int = 42, validation: float = 0.15, test: float = 0.15) -> DataFrame:
     """(group, label, split): groups ranked by seeded hash within their label;
     the first are test, the next validation. Fewer than three groups raise."""
-    own = Window.partitionBy(label)
-    ranked = groups.select(label, group).distinct().withColumns({"_n": F.count(F.lit(1)).over(own).cast("int"), "_rank": F.row_number().over(own.orderBy(seeded(seed, F.col(group)), group))})
-    t, v = split_counts(F.col("_n"), validation, test)
+    ranked = _ranked(groups.select(label, group).distinct(), label, group, seed)
+    t, v = split_counts(F.col("_n").cast("int"), validation, test)
     sized = ranked.withColumns({"_t": t, "_v": v})
     split = F.when(F.col("_n") < 3, F.raise_error(F.lit("a label needs three groups at least"))).when(F.col("_rank") <= F.col("_t"), "test").when(F.col("_rank") <= F.col("_t") + F.col("_v"), "validation").otherwise("train")
     return sized.select(group, label, split.alias("split"))
@@ -53,15 +62,14 @@ def stratified_cap(df: DataFrame, label: str, key: str, limit: int, seed: int =
     """At most limit rows, dealt one for each label in turn; all if limit <= 0."""
     if limit <= 0:
         return df
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(seeded(seed, F.col(key)), key))
-    return df.withColumn("_rank", rank).orderBy("_rank", label).limit(limit).drop("_rank")
+    ranked = _ranked(df, label, key, seed).where(F.col("_rank") <= limit)
+    return ranked.orderBy("_rank", label).limit(limit).select(*df.columns)
 
 
 def nested_ratio(df: DataFrame, label: str, key: str, outer: float = 0.8, inner: float = 0.8, seed: int = 42) -> DataFrame:
     """df with split: outer share to train and validation, of which the inner
     share trains, within each label."""
-    own = Window.partitionBy(label)
-    ranked = df.withColumns({"_rank": F.row_number().over(own.orderBy(seeded(seed, F.col(key)), key)), "_n": F.count(F.lit(1)).over(own)})
+    ranked = _ranked(df, label, key, seed)
     kept = F.floor(F.col("_n") * outer)
     trained = F.floor(kept * inner)
     return ranked.withColumn("split", F.when(F.col("_rank") <= trained, "train").when(F.col("_rank") <= kept, "validation").otherwise("test")).drop("_rank", "_n")
@@ -69,5 +77,4 @@ def nested_ratio(df: DataFrame, label: str, key: str, outer: float = 0.8, inner:
 
 def nested_fixed(df: DataFrame, label: str, key: str, outer: int = 150, inner: int = 120, seed: int = 42) -> DataFrame:
     """The same with fixed sizes; what is over stays for test."""
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(seeded(seed, F.col(key)), key))
-    return df.withColumn("_rank", rank).withColumn("split", F.when(F.col("_rank") <= inner, "train").when(F.col("_rank") <= outer, "validation").otherwise("test")).drop("_rank")
+    return _ranked(df, label, key, seed).withColumn("split", F.when(F.col("_rank") <= inner, "train").when(F.col("_rank") <= outer, "validation").otherwise("test")).drop("_rank", "_n")

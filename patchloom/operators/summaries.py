@@ -27,3 +27,22 @@ def metric_table(summary: DataFrame, metrics: list[str]) -> DataFrame:
 
 def split_summary(rows: DataFrame, label: str, group: str, repository: str) -> DataFrame:
     return rows.groupBy("split", label).agg(F.count(F.lit(1)).alias("samples"), F.count_distinct(group).alias("commit_groups"), F.count_distinct(repository).alias("repositories"))
+
+
+def discovery_summary(candidates: DataFrame) -> DataFrame:
+    """(metric, value): advisories, distinct fix commits, candidates by status."""
+    def one(name: str, rows: DataFrame, value: Column) -> DataFrame:
+        return rows.agg(value.cast("long").alias("value")).select(F.lit(name).alias("metric"), "value")
+
+    links = candidates.select(F.explode("fix_commits.commit_url").alias("link"))
+    by_status = candidates.groupBy(F.col("candidate_status").alias("metric")).agg(F.count(F.lit(1)).alias("value"))
+    return one("advisories_found", candidates, F.count(F.lit(1))).unionByName(one("unique_fix_commits", links, F.count_distinct("link"))).unionByName(by_status)
+
+
+def longest(rows: DataFrame, text: str) -> DataFrame:
+    return rows.agg(F.coalesce(F.max(F.length(text)), F.lit(0)).cast("long").alias("max_length"))
+
+
+def chunk_maxima(chunks: DataFrame, parent: str = "parent_sample_id") -> DataFrame:
+    """Chunks, training chunks and the longest chunk of each record."""
+    return chunks.groupBy(parent).agg(F.count(F.lit(1)).alias("chunks_created"), F.count_if("eligible_for_training").alias("training_chunks"), F.max("chunk_token_count").alias("max_chunk_token_count"))

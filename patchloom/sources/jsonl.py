@@ -8,19 +8,25 @@ value; lines are therefore read as text and parsed strictly in Arrow batches.
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patchloom.functions.udf import arrow_udf
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, source_line, value): lines of whole files, numbered from 1 with
-    blank ones counted. A file is one row of the scan, so its lines keep their
-    order; very large files should be split before."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^﻿", "").alias("value"))
-    lines = whole.select("file", F.posexplode(F.split("value", r"\r\n|\n|\r", -1)).alias("at", "value"))
-    return lines.select("file", (F.col("at") + 1).alias("source_line"), "value").where(F.trim("value") != "")
+    """(file, source_line, value): lines of files, numbered from 1 with blank
+    ones counted. Files are split as Spark splits them: each block's lines are
+    counted, and a line's number is its place in its block behind the blocks
+    before."""
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"), "value")
+    blocks = raw.groupBy("file", "block").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).select("file", "block", "first", "offset")
+    line = (F.col("place") - F.col("first") + F.col("offset") + 1).cast("int").alias("source_line")
+    placed = raw.join(F.broadcast(offsets), ["file", "block"]).select("file", line, "value")  # a row for each block of a file
+    bare = F.when(F.col("source_line") == 1, F.regexp_replace("value", "^﻿", "")).otherwise(F.col("value"))
+    return placed.withColumn("value", bare).where(F.trim("value") != "")
 
 
 @arrow_udf("object string, error string")

@@ -19,7 +19,7 @@ def primary(spark, rows):
     cwe_map = spark.createDataFrame([(URL, "CWE-79")], "key string, value string")
     index = spark.createDataFrame([(URL,)], "value string")
     metadata = spark.createDataFrame([(4, "lib/z.py")], "file_change_id long, file_path string")
-    prepared = curation.prepare_primary(df, cwe_map, index, metadata, tokens=F.lit(1))
+    prepared = curation.prepare_primary(df, cwe_map, index, metadata, tokens=(F.lit(1), F.lit(1)))
     return {r.source_line: r for r in curation.filter_primary(prepared).collect()}
 
 
@@ -49,7 +49,7 @@ def test_credential_evidence(spark):
     removed = (1, *common, "f", "Python", ["CWE-798"], 'def f():\n    password = "hunter22"\n', 'def f():\n    password = os.environ["P"]\n')
     without = (2, *common, "g", "Python", ["CWE-798"], "def g():\n    return 1\n", "def g():\n    return 2\n")
     left = (3, *common, "h", "Python", ["CWE-798"], 'def h():\n    password = "hunter22"\n    api_key = "abcdef"\n', 'def h():\n    password = p()\n    api_key = "abcdef"\n')
-    rows = curation.filter_external(spark.createDataFrame([removed, without, left], EXTERNAL)).collect()
+    rows = curation.filter_external(spark.createDataFrame([removed, without, left], EXTERNAL), tokens=(F.lit(9), F.lit(9))).collect()
     got = {r.source_line: (r.status, r.reason_codes) for r in rows}
     assert got[1][0] == "ACCEPTED"
     assert got[2] == ("MANUAL_REVIEW", ["manual_review_cwe798_semantic_evidence"])
@@ -90,7 +90,7 @@ def test_diff_parsers():
     assert (first["deleted"], first["added"], first["context"]) == (["return x"], ["return int(x)"], ["def f(x):"])
     assert second["new_path"] == "tests/t.py"
     numbers = line_numbers(DIFF)
-    assert (numbers[0]["old_lines"], numbers[0]["new_lines"]) == ([2], [2]) and numbers[1]["old_lines"] == [0]
+    assert (numbers[0]["old_lines"], numbers[0]["new_lines"]) == ([2], [2]) and (numbers[1]["old_lines"], numbers[1]["new_lines"]) == ([], [1])
 
 
 def test_regions():
