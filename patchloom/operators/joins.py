@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of a lookup side that are broadcast at most; larger ones are shuffled.
@@ -55,14 +55,20 @@ def pair_explicit_first(left: DataFrame, right: DataFrame, explicit: str, right_
 
 
 def first_contained(findings: DataFrame, text: str, rules: DataFrame, rule: str, ordinal: str) -> DataFrame:
-    """findings with the columns of the first rule whose name stands in the text.
-    Rules are a fixed table of a few hundred rows, matched as one array."""
+    """findings with the columns of the first rule whose name stands in the text."""
+    from patchloom.operators.findings import contained_rules
+
     fields = [ordinal, *[c for c in rules.columns if c != ordinal]]
-    table = rules.select(F.struct(*fields).alias("_rule")).agg(F.array_sort(F.collect_list("_rule")).alias("_rules"))
-    hit = F.filter("_rules", lambda r: F.col(text).contains(r[rule]))
-    return findings.join(F.broadcast(table)).withColumn("_hit", F.try_element_at(hit, F.lit(1))).where("_hit IS NOT NULL").select(*findings.columns, *[F.col(f"_hit.{f}").alias(f) for f in fields])
+    hits = contained_rules(findings, text, rules, rule, ordinal).withColumn("_hit", F.try_element_at("_hits", F.lit(1)))
+    return hits.where("_hit IS NOT NULL").select(*findings.columns, *[F.col(f"_hit.{f}").alias(f) for f in fields])
+
+
+def group_buckets(df: DataFrame, group: list[str], name: str = "bucket") -> DataFrame:
+    """(group, n, bucket): ``single`` or ``multi`` by the rows of a group."""
+    sized = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    return sized.withColumn(name, F.when(F.col("n") == 1, "single").otherwise("multi"))
 
 
 def bucket_of_group(df: DataFrame, group: list[str], name: str = "bucket") -> DataFrame:
-    """df with ``single`` or ``multi`` by the rows of its group."""
-    return df.withColumn(name, F.when(F.count(F.lit(1)).over(Window.partitionBy(*group)) == 1, "single").otherwise("multi"))
+    """df with the bucket of its group."""
+    return df.join(group_buckets(df, group, name).drop("n"), group)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patchloom.operators.numbering import sequence
+
 ROUTES = {1: "answer_1", 2: "answer_2", 3: "answer_3", 4: "answer_4"}
 
 
@@ -21,6 +23,14 @@ def batch_request(df: DataFrame, custom_id: Column, messages: Column, model: str
     return df.select(F.to_json(line).alias("value"))
 
 
+def few_shot(df: DataFrame, order: str, system: str, shots: list[tuple[str, str]], user: Column, model: str) -> DataFrame:
+    """Requests with worked examples before the question, one JSON line for each
+    row; the custom_id is the row's place by a unique integer order, from 1."""
+    turns = [("system", F.lit(system)), *[(role, F.lit(text)) for shot in shots for role, text in zip(("user", "assistant"), shot, strict=True)], ("user", user)]
+    messages = F.array(*[F.struct(F.lit(r).alias("role"), c.alias("content")) for r, c in turns])
+    return batch_request(sequence(df, order, "_place"), F.col("_place"), messages, model)
+
+
 def answer(content: Column) -> Column:
     """The digit behind "answer" in either quoting; anything else is null.
     White space around the colon is allowed."""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patchloom.functions import keys as K
-from patchloom.operators import chunks, dedup, joins, match, metrics, rules, samples, splits, summaries, triage
+from patchloom.operators import chunks, dedup, findings, joins, match, metrics, numbering, rules, samples, splits, summaries, triage
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -185,10 +185,8 @@ def last_wins_enrichment(spark, d):
 
 @query("SELECT doc_id, upper(lang) || '_' || lpad(CAST(row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS VARCHAR), 6, '0') AS sample_id FROM documents")
 def sequence_ids(spark, d):
-    from pyspark.sql import Window
-
-    number = F.row_number().over(Window.partitionBy("lang").orderBy("doc_id"))
-    return t(spark, d, "documents").select("doc_id", F.format_string("%s_%06d", F.upper("lang"), number).alias("sample_id"))
+    ranked = numbering.rank_within(t(spark, d, "documents").select("doc_id", "lang"), ["lang"], [F.col("doc_id")], numbering.by_number("doc_id"), "number")
+    return ranked.select("doc_id", F.format_string("%s_%06d", F.upper("lang"), "number").alias("sample_id"))
 
 
 @query("""
@@ -228,8 +226,7 @@ AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-UR
 def anti_semi_cohort(spark, d):
     orders = t(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey")
     customers = t(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    kept = customers.join(orders.where("o_orderpriority = '1-URGENT'"), "c_custkey", "left_anti")
-    return kept.join(orders.where("o_orderstatus = 'F'"), "c_custkey", "left_semi")
+    return findings.cohort(customers, orders.where("o_orderstatus = 'F'"), orders.where("o_orderpriority = '1-URGENT'"), "c_custkey")
 
 
 @query("""
@@ -382,10 +379,7 @@ def multiclass_metrics(spark, d):
 WITH b AS (SELECT l_orderkey, CASE WHEN count(*) = 1 THEN 'single' ELSE 'multi' END AS bucket, count(*) AS n FROM lineitem GROUP BY 1)
 SELECT bucket, CAST(count(*) AS BIGINT) AS orders, CAST(sum(n) AS BIGINT) AS lines FROM b GROUP BY bucket""")
 def size_bucket_groups(spark, d):
-    # counting by order first leaves one row for each order
-    sized = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    bucket = F.when(F.col("n") == 1, "single").otherwise("multi").alias("bucket")
-    return sized.groupBy(bucket).agg(F.count(F.lit(1)).alias("orders"), F.sum("n").alias("lines"))
+    return joins.group_buckets(t(spark, d, "lineitem"), ["l_orderkey"]).groupBy("bucket").agg(F.count(F.lit(1)).alias("orders"), F.sum("n").alias("lines"))
 
 
 @query("""
@@ -432,3 +426,6 @@ def set_ops(spark, d):
     both, only = rich.intersect(suppliers.select("n")), rich.subtract(suppliers.where("s_acctbal > 5000").select("n"))
     bag = samples.union_in_order([suppliers.select("n"), nations]).select(F.lit("bag").alias("part"), "n")
     return both.select(F.lit("both").alias("part"), "n").unionByName(only.select(F.lit("customer_only").alias("part"), "n")).unionByName(bag)
+
+
+from patchloom.plans import registry_code, registry_joins  # noqa: E402, F401  they register more queries
