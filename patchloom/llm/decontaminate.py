@@ -22,9 +22,11 @@ repeated results; an empty benchmark contaminates nothing.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +35,11 @@ from pyspark.sql import types as T
 from patchloom.llm.common import bytes_column, ids_only, table
 
 WINDOW = 10
-#: Characters of benchmark text that one pass holds in each Python worker.
-BLOCK_CHARS = 16_000_000
+#: Characters of benchmark text that one pass holds in each Python worker: some
+#: 40 bytes a word, and while the driver indexes a block some 200 for each window.
+BLOCK_CHARS = 4_000_000
+#: Windows that are compared with a document at once.
+PROBES = 1_000_000
 
 _WORD = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _WORD else 0x20 for c in range(256))
@@ -77,26 +82,77 @@ def count_words(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
 
 
 class Index:
-    """Windows of a benchmark block by their rarest word."""
+    """Windows of a benchmark block by their rarest word, as arrays.
+
+    Words are numbered; a text is an array of numbers and a window a place in one,
+    so a window takes some twenty bytes beside the words. Equal windows are one,
+    with the items of all of them.
+    """
 
     def __init__(self, items: list[tuple[str | None, bytes]], counts: dict[bytes, int], size: int = WINDOW):
-        owners: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-        for item, text in items:
-            for window in windows_of(words_of(text), size):
-                owners[window].update(() if item is None else (item,))
-        self.by_prefix: dict[bytes, list[tuple[int, list[bytes], frozenset[str]]]] = defaultdict(list)
-        for window, ids in owners.items():
-            at = min(range(len(window)), key=lambda i: (counts.get(window[i], 0), window[i], i))
-            self.by_prefix[window[at]].append((at, list(window), frozenset(ids)))
-
-    def occurrences(self, words: list[bytes]) -> Iterator[tuple[int, int, frozenset[str]]]:
-        """(start, end, item ids) of every window that stands in words."""
-        index, n = self.by_prefix, len(words)
-        for i in [i for i, w in enumerate(words) if w in index]:
-            for at, window, ids in index[words[i]]:
-                start, end = i - at, i - at + len(window)
-                if start >= 0 and end <= n and words[start:end] == window:
-                    yield start, end, ids
+        ids: dict[bytes, int] = {}
+        texts = [np.array([ids.setdefault(w, len(ids)) for w in words_of(text)], np.int32) for _, text in items]
+        rarity = np.array([counts.get(w, 0) for w in ids], np.int64)
+        # a word's place by (count, word): the rarest word of a window is its least
+        order = sorted(range(len(ids)), key=lambda i, names=list(ids): (rarity[i], names[i]))
+        rank = np.empty(len(ids), np.int64)
+        rank[order] = np.arange(len(ids))
+        known: dict[bytes, int] = {}
+        at, where, prefix, owned = [], [], [], []
+        start = 0
+        for item, numbers in enumerate(texts):
+            n = min(size, len(numbers))
+            for i in range(len(numbers) - n + 1 if n else 0):
+                window = numbers[i : i + n]
+                w = known.setdefault(window.tobytes(), len(known))
+                if w == len(at):
+                    least = int(rank[window].argmin())
+                    at.append(least)
+                    where.append((start + i, n))
+                    prefix.append(int(window[least]))
+                if items[item][0] is not None:
+                    owned.append((w, item))
+            start += len(numbers)
+        self.words = ids
+        self.stream = np.concatenate(texts) if texts else np.zeros(0, np.int32)
+        by_word = np.argsort(np.array(prefix, np.int64), kind="stable")
+        place = np.empty(len(by_word), np.int64)
+        place[by_word] = np.arange(len(by_word))
+        self.at = np.array(at, np.uint8)[by_word]
+        self.start, self.length = (np.array(x, np.int64)[by_word] for x in (list(zip(*where, strict=True)) or [(), ()]))
+        self.first = np.searchsorted(np.array(prefix, np.int64)[by_word], np.arange(len(ids) + 1))
+        pairs = np.array(sorted({(int(place[w]), item) for w, item in owned}), np.int64).reshape(-1, 2)
+        self.owners = pairs[:, 1].astype(np.int32)
+        self.owner_first = np.searchsorted(pairs[:, 0], np.arange(len(at) + 1))
+        self.names = [item for item, _ in items]
+
+    def occurrences(self, words: list[bytes]) -> Iterator[tuple[int, int, list[str]]]:
+        """(start, end, item ids) of every window that stands in words. All
+        windows that a document's words are prefixes of are compared at once,
+        word after word, some PROBES at a time."""
+        numbers = np.fromiter(map(self.words.get, words, repeat(-1)), np.int32, len(words))
+        at = np.flatnonzero(numbers >= 0)
+        first = self.first[numbers[at]]
+        count = self.first[numbers[at] + 1] - first
+        at, first, count = at[count > 0], first[count > 0], count[count > 0]
+        ends = np.cumsum(count)
+        low = 0
+        while low < len(at):
+            done = ends[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, done + PROBES, "right")))
+            c = count[low:high]
+            k = np.repeat(first[low:high] - (ends[low:high] - c - done), c) + np.arange(int(c.sum()))
+            begin = np.repeat(at[low:high], c) - self.at[k]
+            ok = (begin >= 0) & (begin + self.length[k] <= len(words))
+            k, begin = k[ok], begin[ok]
+            for d in range(int(self.length[k].max(initial=0))):
+                inside = d < self.length[k]
+                same = ~inside
+                same[inside] = numbers[begin[inside] + d] == self.stream[self.start[k[inside]] + d]
+                k, begin = k[same], begin[same]
+            for start, w in zip(begin.tolist(), k.tolist(), strict=True):
+                yield start, start + int(self.length[w]), [self.names[o] for o in self.owners[self.owner_first[w] : self.owner_first[w + 1]]]
+            low = high
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[list[int]]:

@@ -139,3 +139,23 @@ def test_windows_of_items_without_an_id(spark):
         got = {r.doc_id: (sum(e - s for s, e in r.hit_spans), list(r.item_ids)) for r in decontaminate.match(docs, bench, block_chars=block, nameless=True).collect()}
         assert got == {1: (10, []), 2: (10, ["7"]), 3: (0, [])}
     assert [r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()] == [3]
+
+
+def test_index_of_a_large_block(monkeypatch):
+    """A block of four million characters is held in some tens of bytes a word,
+    and finds what brute force finds, in one go or in several."""
+    import pickle
+
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(40_000)]
+    items = [(str(i), " ".join(rng.choice(words) for _ in range(700))) for i in range(900)]
+    index = decontaminate.Index([(i, t.encode()) for i, t in items], {})
+    n = sum(len(t) for _, t in items)
+    assert n > 3_500_000 and len(pickle.dumps(index)) < 12 * n
+    cut = items[5][1].split()[100:140] + ["w1", "zz"] + items[7][1].split()[:9] + items[9][1].split()[-12:]
+    want = decontaminate.brute_force(" ".join(cut), [items[5], items[7], items[9]])
+    for probes in (10**6, 1, 7):
+        monkeypatch.setattr(decontaminate, "PROBES", probes)
+        found = list(index.occurrences([w.encode() for w in cut]))
+        spans = decontaminate.merge_spans([(a, b) for a, b, _ in found])
+        assert (len(cut), sum(b - a for a, b in spans), sorted({i for *_, ids in found for i in ids})) == want
