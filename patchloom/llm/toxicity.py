@@ -32,12 +32,16 @@ from pyspark.sql import functions as F
 from patchloom.llm.common import fold_of, ids_only, materialise, table
 
 
+#: Features of training rows that the fit works on at once.
+HELD = 1_000_000
+
+
 @dataclass(frozen=True)
 class Config:
     orders: tuple[int, ...] = (3, 4, 5)
     bits: int = 18
     rows_per_class: int = 3000
-    least_errors: float = 2.0
+    least_errors: float = 1.75
     smoothing: float = 1.0
     l2: float = 2e-3
     steps: int = 300
@@ -132,11 +136,12 @@ def _features(sample: DataFrame, config: Config, wanted: np.ndarray) -> tuple[np
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(held, pa.binary())], ["toxic", "held"])
 
     got = sample.mapInArrow(rows, "toxic int, held binary").orderBy("toxic", "held").toArrow()
-    held = [np.frombuffer(x, np.int32) for x in got.column("held").to_pylist()]
-    place = np.cumsum(wanted) - 1
-    row = np.repeat(np.arange(len(held), dtype=np.int32), [len(x) for x in held])
-    feature = place[np.concatenate(held)] if held else np.zeros(0, np.int64)
-    return row, feature.astype(np.int32), got.column("toxic").to_numpy().astype(np.float64)
+    held, y = got.column("held").to_pylist(), got.column("toxic").to_numpy().astype(np.float64)
+    del got
+    row = np.repeat(np.arange(len(held), dtype=np.int32), [len(x) // 4 for x in held])
+    feature = np.frombuffer(b"".join(held), np.int32)
+    del held
+    return row, (np.cumsum(wanted, dtype=np.int32) - 1)[feature], y
 
 
 def fit(docs: DataFrame, labels: DataFrame, config: Config = Config()) -> Model:
@@ -154,13 +159,18 @@ def fit(docs: DataFrame, labels: DataFrame, config: Config = Config()) -> Model:
     wanted = spread > config.least_errors
     row, feature, y = _features(sample, config, wanted)
     n, k = len(y), int(wanted.sum())
-    x = ratio[wanted][feature]
+    scale = ratio[wanted]
     share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     w, b, gw, gb = np.zeros(k), 0.0, np.full(k, 1e-8), 1e-8
+    parts = [slice(at, at + HELD) for at in range(0, len(row), HELD)]
     for _ in range(config.steps):
-        z = np.clip(np.bincount(row, w[feature] * x, minlength=n) + b, -30, 30)
-        err = (1 / (1 + np.exp(-z)) - y) * share
-        dw, db = np.bincount(feature, err[row] * x, minlength=k) + config.l2 * w, float(err.sum())
+        scaled, z, dw = w * scale, np.full(n, b), np.zeros(k)
+        for p in parts:
+            z += np.bincount(row[p], scaled[feature[p]], minlength=n)
+        err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
+        for p in parts:
+            dw += np.bincount(feature[p], err[row[p]], minlength=k)
+        dw, db = dw * scale + config.l2 * w, float(err.sum())
         gw += dw * dw
         gb += db * db
         w -= 0.1 * dw / np.sqrt(gw)
