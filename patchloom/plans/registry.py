@@ -83,12 +83,13 @@ def first_wins_keyed_dedup(spark, d):
 @query("""
 WITH RECURSIVE k AS (
   SELECT doc_id, 'code:' || sha256(text) AS key FROM documents UNION ALL
-  SELECT doc_id, 'pair:' || sha256(lang || '|' || source || '|' || substr(text, 1, 40)) FROM documents),
+  SELECT doc_id, 'pair:' || sha256(lang || '|' || source || '|' || regexp_replace(lower(text), '[^a-z]+', ' ', 'g')) FROM documents),
 e AS (SELECT DISTINCT a.doc_id AS x, b.doc_id AS y FROM k a JOIN k b USING (key)),
 r(x, y) AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
 SELECT x AS doc_id, min(y) AS component FROM r GROUP BY x""")
 def component_dedup(spark, d):
-    pair = F.sha2(F.concat_ws("|", "lang", "source", F.substring("text", 1, 40)), 256)
+    # copies that differ in case, digits, signs or layout, over whole texts
+    pair = F.sha2(F.concat_ws("|", "lang", "source", F.regexp_replace(F.lower("text"), "[^a-z]+", " ")), 256)
     keyed = t(spark, d, "documents").select("doc_id", F.explode(F.array(F.concat(F.lit("code:"), K.content_hash(F.col("text"))), F.concat(F.lit("pair:"), pair))).alias("key"))
     return dedup.components(keyed, "doc_id", "key")
 
