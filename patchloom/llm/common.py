@@ -33,9 +33,12 @@ def fold_of(doc_id: str | Column, folds: int) -> Column:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir; a folder in
-    the warehouse where the setting is empty, as in local tests."""
+    the warehouse where the setting is empty and the master is local, as in
+    tests. A cluster has to name its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         root = posixpath.join(spark.conf.get("spark.sql.warehouse.dir"), "_shared")
     return root
 
