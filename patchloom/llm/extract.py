@@ -18,7 +18,8 @@ its task. What stays uncovered is kept. A page that would be covered nearly whol
 (``nearly_all``) is a mirror: only what pages that are no mirrors hold, or any
 page's frame, counts against it, and if that still covers it, it keeps its text. A host with many pages
 is dealt to parts of bounded size; stretches that several parts share are found
-by hashes of their ``MIN_RUN``-grams, which cover exactly the same tokens.
+by hashes of their ``MIN_RUN``-grams, which cover exactly the same tokens. Its
+mirrors are told in a pass before, so that the parts change no result.
 
 Defined results: null or empty html gives empty text; a url without a host
 belongs to the host ``''``; pages alone on their host keep everything that
@@ -38,8 +39,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from patchloom.llm.common import ids_only, materialise, table
+from patchloom.llm.common import empty_like, ids_only, materialise, table
 
 MIN_RUN = 12
 #: Tokens of one host that a task sorts together.
@@ -337,35 +339,53 @@ def nearly_all(gone: np.ndarray) -> bool:
     return bool(stretches.sum() < MIRROR_SHARE * len(gone) and stretches.max(initial=0) < MIN_RUN)
 
 
-def clean(texts: list[list[str]], frames: list[list[str]], sure: list[np.ndarray], elsewhere: dict[str, np.ndarray] | None = None) -> list[list[str]]:
-    """What stays of the texts of a host's distinct pages.
-
-    sure: which tokens stand in a marked article; they stay, and are no evidence.
-    elsewhere: sorted gram hashes that other parts of the host hold (``any``),
-    hold in a frame (``frame``), or that most parts hold (``most``).
-    """
+def _evidence(texts: list[list[str]], frames: list[list[str]], sure: list[np.ndarray], elsewhere: dict[str, np.ndarray] | None) -> Callable[[int, np.ndarray | None], np.ndarray]:
+    """The tokens of page i that other pages' runs cover: runs of all pages or,
+    where mirrors are given, of the pages that are none and of all frames."""
     k = len(texts)
     runs = Runs([*texts, *frames])
     page, framed = runs.owner % max(1, k), runs.owner >= k
     article = np.concatenate([x for s in [*sure, *(np.zeros(len(f), bool) for f in frames)] for x in (_touching(s), [False])]) if k else np.zeros(0, bool)
-    apart = runs.least_and_greatest(page, np.flatnonzero(~article))
+    bounds: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
-    def places(i: int, other: tuple[np.ndarray, np.ndarray], kinds: tuple[str, ...]) -> np.ndarray:
-        """Places of page i whose run another page holds, here or in a part."""
+    def gone(i: int, mirror: np.ndarray | None) -> np.ndarray:
+        kind = "any" if mirror is None else "plain"
+        if kind not in bounds:
+            bounds[kind] = runs.least_and_greatest(page, np.flatnonzero(~article if mirror is None else ~article & (framed | ~mirror[page])))
+        low, high = bounds[kind]
         group = runs.group[runs.cuts[i] : runs.cuts[i] + runs.lengths[i]]
-        held = (other[1][group] >= 0) & ((other[0][group] != i) | (other[1][group] != i))
+        held = (high[group] >= 0) & ((low[group] != i) | (high[group] != i))
         if elsewhere is not None and len(texts[i]) >= MIN_RUN:
             grams = gram_hashes(texts[i]).view(np.int64)
-            for kind in kinds:
-                held[: len(grams)] |= np.isin(grams, elsewhere[kind])
-        return np.flatnonzero(held[: max(0, len(held) - MIN_RUN + 1)])
-
-    gone = [covered(len(t), places(i, apart, ("any",))) & ~sure[i] for i, t in enumerate(texts)]
-    mirror = np.array([bool(g.any()) and nearly_all(g) for g in gone], bool)
-    if mirror.any():
-        plain = runs.least_and_greatest(page, np.flatnonzero(~article & (framed | ~mirror[page])))
-        for i in np.flatnonzero(mirror):
-            gone[i] = covered(len(texts[i]), places(i, plain, ("frame", "most"))) & ~sure[i]
+            held[: len(grams)] |= np.isin(grams, elsewhere[kind])
+        return covered(len(texts[i]), np.flatnonzero(held[: max(0, len(held) - MIN_RUN + 1)])) & ~sure[i]
+
+    return gone
+
+
+def _mirrors(gone: list[np.ndarray]) -> np.ndarray:
+    return np.array([bool(g.any()) and nearly_all(g) for g in gone], bool)
+
+
+def mirrors(texts: list[list[str]], frames: list[list[str]], sure: list[np.ndarray], elsewhere: dict[str, np.ndarray] | None = None) -> np.ndarray:
+    """Which of a host's distinct pages are mirrors; arguments as of clean."""
+    found = _evidence(texts, frames, sure, elsewhere)
+    return _mirrors([found(i, None) for i in range(len(texts))])
+
+
+def clean(texts: list[list[str]], frames: list[list[str]], sure: list[np.ndarray], elsewhere: dict[str, np.ndarray] | None = None, mirror: np.ndarray | None = None) -> list[list[str]]:
+    """What stays of the texts of a host's distinct pages.
+
+    sure: which tokens stand in a marked article; they stay, and are no evidence.
+    elsewhere: gram hashes that other parts of the host hold (``any``), or hold in
+    a frame or a page that is no mirror (``plain``). mirror: which pages are
+    mirrors, if the pages are a part of the host's.
+    """
+    found = _evidence(texts, frames, sure, elsewhere)
+    gone = [found(i, None) for i in range(len(texts))]
+    mirror = _mirrors(gone) if mirror is None else mirror
+    for i in np.flatnonzero(mirror):
+        gone[i] = found(i, mirror)
     return [t if not g.any() or nearly_all(g) else _left(t, g) for t, g in zip(texts, gone, strict=True)]
 
 
@@ -500,26 +520,34 @@ def _without_frames(parsed: DataFrame, framed: DataFrame) -> Callable[[DataFrame
     return lambda rows: added(rows).mapInArrow(cut, schema)
 
 
-def _between_parts(placed: DataFrame) -> DataFrame:
-    """(host, part, gram, framed, most): grams that several parts of a host hold;
-    framed: another part in a frame; most: more than half of the parts."""
-    large = placed.where("parts > 1")
+def _between_parts(large: DataFrame) -> DataFrame:
+    """(host, part, gram, plain): grams that several parts of a host hold; plain:
+    another part in a frame, or in a page that is no mirror."""
 
-    def streams(column: str, frame: int, sure: Column) -> DataFrame:
-        return large.select("host", "part", "parts", F.lit(frame).alias("frame"), F.col(column).alias("stream"), sure.alias("sure"))
+    def streams(column: str, plain: Column, sure: Column) -> DataFrame:
+        return large.select("host", "part", plain.cast("int").alias("plain"), F.col(column).alias("stream"), sure.alias("sure"))
 
-    held = _grams(streams("text", 0, F.col("sure")).unionByName(streams("frame", 1, nowhere())), ["host", "part", "parts", "frame"])
-    held = materialise(held.groupBy("host", "gram", "part", "parts").agg(F.max("frame").alias("frame")), "grams")
-    several = held.groupBy("host", "gram").agg(F.count(F.lit(1)).alias("n"), F.sum("frame").alias("frames")).where("n > 1")
-    return held.join(several, ["host", "gram"]).select("host", "part", "gram", (F.col("frames") > F.col("frame")).alias("framed"), (2 * F.col("n") > F.col("parts")).alias("most"))
+    held = _grams(streams("text", ~F.col("mirror"), F.col("sure")).unionByName(streams("frame", F.lit(True), nowhere())), ["host", "part", "plain"])
+    held = materialise(held.groupBy("host", "gram", "part").agg(F.max("plain").alias("plain")), "grams")
+    several = held.groupBy("host", "gram").agg(F.count(F.lit(1)).alias("n"), F.sum("plain").alias("all")).where("n > 1")
+    return held.join(several, ["host", "gram"]).select("host", "part", "gram", (F.col("all") > F.col("plain")).alias("plain"))
 
 
-def _cleaned(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+def _read(left: pd.DataFrame, right: pd.DataFrame) -> tuple[list[list[str]], list[list[str]], list[np.ndarray], dict[str, np.ndarray] | None]:
+    """The arguments of clean, of a host's part and of the grams elsewhere."""
     texts, frames = ([s.split(" ") if s else [] for s in left[c]] for c in ("text", "frame"))
     sure = [_mask(len(t), list(b)) for t, b in zip(texts, left["sure"], strict=True)]
-    kinds = {"any": np.ones(len(right), bool), "frame": right["framed"].to_numpy(bool), "most": right["most"].to_numpy(bool)}
-    elsewhere = {k: np.sort(right["gram"].to_numpy(np.int64)[v]) for k, v in kinds.items()} if len(right) else None
-    done = pd.DataFrame({"host": left["host"], "copy": left["copy"], "text": [" ".join(t) for t in clean(texts, frames, sure, elsewhere)]})
+    grams = right["gram"].to_numpy(np.int64)
+    return texts, frames, sure, {"any": grams, "plain": grams[right["plain"].to_numpy(bool)]} if len(right) else None
+
+
+def _told(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"host": left["host"], "copy": left["copy"], "mirror": mirrors(*_read(left, right))})
+
+
+def _cleaned(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    mirror = left["mirror"].to_numpy(bool) if len(left) and left["parts"].iloc[0] > 1 else None
+    done = pd.DataFrame({"host": left["host"], "copy": left["copy"], "text": [" ".join(t) for t in clean(*_read(left, right), mirror)]})
     return done[left["loose"].to_numpy(bool)]
 
 
@@ -539,7 +567,15 @@ def extract(pages: DataFrame) -> DataFrame:
     tokens = F.size(F.split("text", " ")) + F.size(F.split("frame", " "))
     sizes = once.groupBy("host").agg(F.ceil(F.sum(tokens) / PART_TOKENS).cast("int").alias("parts"))
     placed = once.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("copy"), F.col("parts")).cast("int"))
-    cleaned = placed.select("host", "copy", "part", "loose", "text", "sure", "frame").groupBy("host", "part").cogroup(_between_parts(placed).groupBy("host", "part"))
+    placed = placed.withColumn("mirror", F.lit(False))
+    elsewhere = empty_like(pages.sparkSession, T.StructType.fromDDL("host string, part int, gram long, plain boolean"))
+    large = placed.where("parts > 1")
+    if not sizes.where("parts > 1").isEmpty():
+        told = large.groupBy("host", "part").cogroup(_between_parts(large).groupBy("host", "part")).applyInPandas(_told, "host string, copy string, mirror boolean")
+        told = materialise(told.where("mirror"), "mirrors")
+        placed = placed.drop("mirror").join(told, ["host", "copy"], "left").withColumn("mirror", F.coalesce("mirror", F.lit(False)))
+        elsewhere = _between_parts(placed.where("parts > 1"))
+    cleaned = placed.select("host", "copy", "part", "parts", "loose", "text", "sure", "frame", "mirror").groupBy("host", "part").cogroup(elsewhere.groupBy("host", "part"))
     texts = cleaned.applyInPandas(_cleaned, "host string, copy string, text string")
     changed = held.where("loose").select("page_id", "url", "host", "copy").join(texts, ["host", "copy"]).select("page_id", "url", "text")
     return without_frames(read.where("NOT loose")).select("page_id", "url", "text").unionByName(changed)
