@@ -48,6 +48,8 @@ MIN_RUN = 12
 PART_TOKENS = 400_000
 #: Grams of repeated frames that tasks hold at most (8 bytes each); more are joined.
 HELD_GRAMS = 1_000_000
+#: Names of hosts that tasks hold at most; more are joined.
+HELD_HOSTS = 200_000
 #: Runs cover a page nearly whole if they leave less than this share of its tokens
 #: and nowhere MIN_RUN tokens in a row.
 MIRROR_SHARE = 0.1
@@ -556,7 +558,11 @@ def extract(pages: DataFrame) -> DataFrame:
     read = materialise(_parsed(pages), "pages")
     without_frames = _without_frames(read, materialise(_repeated_frames(read), "frames"))
     # of a page whose text is all in articles only the frame leaves its task
-    hosts = read.where("loose").select("host").distinct()
+    hosts = materialise(read.where("loose").select("host").distinct(), "hosts")
+    few = hosts.limit(HELD_HOSTS + 1).count()
+    if not few:
+        return without_frames(read).select("page_id", "url", "text")
+    hosts = F.broadcast(hosts) if few <= HELD_HOSTS else hosts
     own = F.when(F.col("loose"), F.col("text")).otherwise(F.lit(""))
     sure = F.when(F.col("loose"), F.col("sure")).otherwise(nowhere())
     loose = without_frames(read.join(hosts, "host", "left_semi").select(*read.columns))

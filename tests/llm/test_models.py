@@ -323,15 +323,16 @@ def test_mirrors_keep_their_text(spark, part, monkeypatch):
 
 def test_parts_of_a_host_change_no_text(spark, monkeypatch):
     """Near copies, pages that they share passages with, and frames: the same text
-    in one part and in several."""
+    in one part, in several, and with hosts joined."""
     rng = random.Random(3)
     frame, passages = " ".join(f"f{i}" for i in range(14)), [" ".join(f"w{j}_{i}" for i in range(60)) for j in range(3)]
     rows = [(i, "http://h.x/a", f"<p>{frame}</p><p>{rng.choice(passages)} copy{i}</p>") for i in range(8)]
     rows += [(10 + j, "http://h.x/b", f"<p>{p[:150]}</p><p>{' '.join(f'o{j}_{i}' for i in range(50))}</p><footer>{frame} {j}</footer>") for j, p in enumerate(passages[:2])]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     texts = []
-    for part in (10**6, 150, 40):
+    for part, hosts in ((10**6, 10), (150, 10), (40, 10), (150, 0)):
         monkeypatch.setattr(extract, "PART_TOKENS", part)
+        monkeypatch.setattr(extract, "HELD_HOSTS", hosts)
         texts.append(dict(extract.extract(df).select("page_id", "text").collect()))
     assert len(set(texts[0].values())) == len(rows) and all(t == texts[0] for t in texts)
 
