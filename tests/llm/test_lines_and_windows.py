@@ -116,6 +116,30 @@ def test_growing_distance_equals_brute_force(spark):
     assert {r.doc_id: r.text for r in got} == want
 
 
+def test_words_that_share_a_hash_stay_apart(spark):
+    """Words are compared by hashes only where no two of the lines share one."""
+    held = {}
+    for r in spark.range(6000).select(F.concat(F.lit("w"), "id").alias("w")).select("w", F.pmod(F.hash("w"), F.lit(1 << 20)).alias("h")).collect():
+        held.setdefault(r.h, []).append(r.w)
+    a, b = next(ws for ws in held.values() if len(ws) > 1)[:2]
+    x = ["x0", "x1", a, *(f"y{i}" for i in range(17))]
+    apart, near = [*x[1:2], b, *x[3:], "z"], [*x[1:], "z"]
+    df = spark.createDataFrame([(x, apart), (x, near)], "x array<string>, y array<string>")
+    assert edit_distance(x, apart) == 3 and edit_distance(x, near) == 2
+    assert [r.near for r in df.select(linedup.words_near(F.col("x"), F.col("y")).alias("near")).collect()] == [False, True]
+
+
+def test_lines_near_by_characters(spark, monkeypatch):
+    """By the plain edit distance and, for long lines, by the banded one."""
+    rng = random.Random(10)
+    pairs = [(a, mutate(rng, a, rng.randint(0, 4)) or "a") for a in ("".join(rng.choice("abé ") for _ in range(rng.randint(3, 40))) for _ in range(200))]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for plain in (1_000, 20):
+        monkeypatch.setattr(linedup, "PLAIN", plain)
+        for r in df.select("a", "b", linedup.chars_near(F.col("a"), F.col("b"), 2).alias("near")).collect():
+            assert r.near == (edit_distance(r.a, r.b) <= 2)
+
+
 def test_windows_equal_brute_force(spark):
     rng = random.Random(6)
     words = [f"w{i}" for i in range(30)]
