@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from patchloom.llm import decontaminate, linedup
+from patchloom.llm.common import materialise
 
 
 def edit_distance(a, b):
@@ -116,6 +117,50 @@ def test_growing_distance_equals_brute_force(spark):
     assert {r.doc_id: r.text for r in got} == want
 
 
+def test_edits_of_characters_in_lines_of_all_lengths(spark):
+    """Two edits, spaces among them, link lines with segments, lines that meet
+    by word runs only, and lines of both kinds."""
+    rng = random.Random(12)
+    lines = []
+    for n in [*range(16, 24), 28, 30, 38, 39, 40, 41] * 3:
+        line = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(n))
+        for _ in range(2):
+            at = [rng.randrange(2, len(line) - 2) for _ in range(2)]
+            spaces = [i for i, c in enumerate(line) if c == " "]
+            at = rng.sample(spaces, 2) if rng.random() < 0.5 else at
+            out = list(line)
+            for i in at:
+                out[i] = rng.choice(["x", "", " " + out[i], out[i] + "x"])
+            lines.append("".join(out))
+        lines.append(line)
+    docs = [(i, line) for i, line in enumerate(lines)]
+    got = {r.doc_id: r.n_gone for r in linedup.without_repeats(spark.createDataFrame(docs, "doc_id long, text string"), linedup.WHOLE).collect()}
+    first = {}
+    for i, _ in docs:
+        first.setdefault(i // 3, i)
+    assert got == {i: int(first[i // 3] != i) for i, _ in docs}
+
+
+def test_lines_far_apart_never_meet(spark, monkeypatch):
+    """Long lines that share a passage and nothing else fill no table of pairs,
+    and two lines that are near among them are found."""
+    rng = random.Random(13)
+    passage = " ".join(f"p{i}" for i in range(25))
+    lines = [f"{' '.join(f'w{rng.randrange(10**6)}' for _ in range(100))} {passage} {' '.join(f'w{rng.randrange(10**6)}' for _ in range(100))}" for _ in range(60)]
+    lines.append(lines[7].replace(" p3 ", " q ").replace("w", "v", 9))
+    met = []
+
+    def written(df, label, codec="zstd"):
+        out = materialise(df, label, codec)
+        if label == "met":
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(linedup, "materialise", written)
+    got = linedup.without_repeats(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), linedup.WHOLE)
+    assert [r.doc_id for r in got.where("n_gone > 0").collect()] == [60] and sum(met) <= 6
+
+
 def test_words_that_share_a_hash_stay_apart(spark):
     """Words are compared by hashes only where no two of the lines share one."""
     held = {}
