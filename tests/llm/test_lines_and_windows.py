@@ -161,6 +161,41 @@ def test_lines_far_apart_never_meet(spark, monkeypatch):
     assert [r.doc_id for r in got.where("n_gone > 0").collect()] == [60] and sum(met) <= 6
 
 
+def test_dense_group_meets_in_few_pairs(spark, monkeypatch):
+    """Copies around the limit: one class of most, without all pairs."""
+    rng = random.Random(14)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(95)]
+    lines = []
+    for _ in range(300):
+        words = list(base)
+        for at in rng.sample(range(95), 5):
+            words[at] = f"v{rng.randrange(10**6)}"
+        lines.append(words)
+    up = list(range(300))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(300):
+        for b in range(a):
+            if sum(x != y for x, y in zip(lines[a], lines[b])) <= 9:
+                up[max(find(a), find(b))] = min(find(a), find(b))
+    met = []
+
+    def written(df, label, codec="zstd"):
+        out = materialise(df, label, codec)
+        if label == "met":
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(linedup, "materialise", written)
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id for r in linedup.without_repeats(docs, linedup.WHOLE).where("n_gone = 0").collect()}
+    assert got == {find(i) for i in range(300)} and sum(met) < 12_000, met
+
+
 def test_words_that_share_a_hash_stay_apart(spark):
     """Words are compared by hashes only where no two of the lines share one."""
     held = {}
