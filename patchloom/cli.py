@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patchloom.functions.tokens import approx_offsets
-from patchloom.operators import summaries
+from patchloom.operators import joins, summaries
 from patchloom.plans import chunking, curation, dataset, extraction, recovery, splitting
 from patchloom.sinks import files
 from patchloom.sources import advisories, jsonl
@@ -77,7 +77,7 @@ def _extract(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _chunk(spark: SparkSession, a: argparse.Namespace) -> None:
-    made = chunking.chunk_records(_records(spark, a.input), approx_offsets, "words-and-signs", a.max_tokens, a.stride)
+    made = chunking.chunk_records(joins.spread(_records(spark, a.input)), approx_offsets, "words-and-signs", a.max_tokens, a.stride)
     for name, rows in (("chunks", made.chunks), ("training", made.training()), ("manual_review", made.remaining)):
         files.write_jsonl(rows, f"{a.output_dir}/{name}")
     files.write_report(chunking.chunk_summary(made.outcomes), f"{a.output_dir}/chunking_summary.csv")

@@ -14,6 +14,12 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt to the session's number of shuffle tasks, by keys or in turn: Spark
+    splits files by bytes, so rows that are few bytes and much work share a task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def melted_lookup(df: DataFrame, row: str, keys: Column, table: DataFrame, key: str, value: str) -> DataFrame:
     """df with ``hits``: the sorted union of the values of any of its keys.
 

@@ -13,11 +13,22 @@ def over_dimension(dim: DataFrame, rows: DataFrame, key: str, aggregates: dict[s
     return dim.join(summed, key, "left").select(*dim.columns, *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in aggregates])
 
 
-def with_total(rows: DataFrame, key: str, exploded: DataFrame, aggregates: dict[str, Column], total: str = "TOTAL") -> DataFrame:
-    """Aggregates by key of the exploded rows, and a total of the rows as they
-    are: a row with several keys counts once in it, which a rollup can't do."""
+def with_total(rows: DataFrame, key: str, keys: Column, aggregates: dict[str, Column], total: str = "TOTAL") -> DataFrame:
+    """Aggregates by each of a row's keys (an array), and a total of the rows as they
+    are: a row with several keys counts once in it, which a rollup can't do. The
+    rows are computed once; without any the total stands alone."""
     columns = [c.alias(n) for n, c in aggregates.items()]
-    return exploded.groupBy(key).agg(*columns).unionByName(rows.agg(*columns).select(F.lit(total).alias(key), *aggregates))
+
+    def side(whole: bool, value: Column) -> Column:
+        return F.struct(F.lit(whole).alias("whole"), value.alias(key))
+
+    each = F.transform(keys, lambda k: side(False, k))
+    all_of = F.array(side(True, F.lit(total)))
+    summed = rows.withColumn("_side", F.explode(F.concat(all_of, F.coalesce(each, F.slice(all_of, 1, 0))))).groupBy("_side").agg(*columns)
+    none = rows.limit(0).agg(*columns).select(side(True, F.lit(total)).alias("_side"), *aggregates)
+    both = summed.withColumn("_none", F.lit(False)).unionByName(none.withColumn("_none", F.lit(True)))
+    first = both.groupBy("_side").agg(F.min_by(F.struct(*aggregates), "_none").alias("_of"))
+    return first.select(f"_side.{key}", "_of.*")
 
 
 def metric_table(summary: DataFrame, metrics: list[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Long pairs to training chunks around their patch.
 
 A record is read once and its chunks are built, marked and pruned inside its row;
-only whole chunks are exploded at the end, so nothing is shuffled.
+only whole chunks are exploded at the end, so nothing is shuffled here.
 """
 
 from __future__ import annotations
@@ -55,10 +55,12 @@ def _judged(records: DataFrame, offsets: Callable[[Column], Column], max_tokens:
     blank_b, blank_a = F.trim(before) == "", F.trim(after) == ""
     long_only = C.only_reason(F.coalesce("reason_codes", F.array().cast("array<string>")), LONG)
     work = long_only & ~blank_b & ~blank_a
+    # what the workers give stands as it is: a condition around it would be copied to
+    # wherever the value is used, down into the loops over chunks
     parsed = records.withColumns({
         "_long": long_only, "_work": work,
-        "_regions": F.when(work, patch_regions(F.when(work, before), F.when(work, after))),
-        "_tokens_before": F.when(work, offsets(F.when(work, before))), "_tokens_after": F.when(work, offsets(F.when(work, after))),
+        "_regions": patch_regions(F.when(work, before), F.when(work, after)),
+        "_tokens_before": offsets(F.when(work, before)), "_tokens_after": offsets(F.when(work, after)),
     })
     reason = (
         F.when(~F.col("_long"), "manual_review_chunk_other_reasons")
@@ -73,14 +75,15 @@ def _judged(records: DataFrame, offsets: Callable[[Column], Column], max_tokens:
     counts = [F.size(f"_tokens_{s}") + special for s in ("before", "after")]
     return made.withColumns({
         "_ready": F.coalesce(survives[0] & survives[1], F.lit(False)),
-        "_within": F.coalesce((counts[0] <= max_tokens) & (counts[1] <= max_tokens), F.lit(False)),
+        "_within": F.coalesce(F.col("_work") & (counts[0] <= max_tokens) & (counts[1] <= max_tokens), F.lit(False)),
     })
 
 
 def chunk_records(records: DataFrame, offsets: Callable[[Column], Column], tokenizer: str, max_tokens: int = 512, overlap: int = 128, special: int = 2) -> Chunked:
     """Records with reason_codes, code_before, code_after, sample_id and what
     CARRIED names. offsets: token places of a text, as array<struct<start,end>>;
-    special: tokens that the tokenizer puts around a text."""
+    special: tokens that the tokenizer puts around a text. A record is few bytes and
+    much work, so a small file of many should be spread first (joins.spread)."""
     judged = _judged(records, offsets, max_tokens, overlap, special)
     parent = F.coalesce(F.nullif(field(records, "sample_id", "string"), F.lit("")), F.concat(F.lit("SOURCE_LINE_"), F.coalesce(field(records, "source_line", "string"), F.lit("UNKNOWN"))))
     sides = F.array(*[F.struct(F.lit(s).alias("variant"), F.col(f"_{s}").alias("made"), F.size(f"_tokens_{s}").alias("tokens"), F.col(f"_regions.{s}").alias("regions")) for s in ("before", "after")])
@@ -155,5 +158,4 @@ def chunk_summary(outcomes: DataFrame) -> DataFrame:
         "remaining_manual_review": F.count_if("remains"),
         "max_chunk_token_count": F.coalesce(F.max("max_chunk_token_count"), F.lit(0)),
     }
-    exploded = outcomes.withColumn("cwe", F.explode(F.array_distinct("cwes")))
-    return summaries.with_total(outcomes, "cwe", exploded, counts)
+    return summaries.with_total(outcomes, "cwe", F.array_distinct("cwes"), counts)

@@ -12,7 +12,7 @@ from patchloom.functions import diffs as D
 from patchloom.functions import keys as K
 from patchloom.functions import pycode as P
 from patchloom.functions.tokens import approx_offsets
-from patchloom.operators import rules
+from patchloom.operators import joins, rules
 from patchloom.plans import chunking, dataset, extraction, recovery, splitting
 from patchloom.plans.registry import query, t
 
@@ -141,7 +141,8 @@ def _records(spark, d):
     del line
     reasons = F.when(k % 11 != 0, F.array(F.lit("manual_review_long_code"))).otherwise(F.array(F.lit("manual_review_long_code"), F.lit("manual_review_ast_error")))
     cwes = F.when(k % 3 == 0, F.array(F.lit("CWE-79"), F.lit("CWE-89"))).otherwise(F.array(F.concat(F.lit("CWE-"), (k % 3 + 20).cast("string"))))
-    return t(spark, d, "customer").select("c_custkey", F.concat(F.lit("S"), k.cast("string")).alias("sample_id"), cwes.alias("cwes"), reasons.alias("reason_codes"), text("a%03d b%03d\n").alias("code_before"), text("c%03d d%03d\n").alias("code_after"))
+    customers = joins.spread(t(spark, d, "customer").select("c_custkey"), "c_custkey")
+    return customers.select("c_custkey", F.concat(F.lit("S"), k.cast("string")).alias("sample_id"), cwes.alias("cwes"), reasons.alias("reason_codes"), text("a%03d b%03d\n").alias("code_before"), text("c%03d d%03d\n").alias("code_after"))
 
 
 def _chunked(spark, d):

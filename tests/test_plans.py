@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from patchloom import cli
 from patchloom.functions.tokens import approx_offsets
-from patchloom.operators import findings, methods, numbering
-from patchloom.plans import chunking, curation, dataset, recovery, splitting
+from patchloom.operators import findings, methods, numbering, summaries
+from patchloom.plans import chunking, curation, dataset, recovery, registry_code, splitting
 from patchloom.sources import caches, jsonl
 
 URL = "https://github.com/o/r/commit/" + "a" * 40
@@ -148,3 +148,20 @@ def test_references_and_fixed_code(spark):
     df = spark.createDataFrame([(["https://github.com/o/r/commit/1", "https://x"], "https://github.com/o/r", "")], "refs array<string>, repo string, code_after string")
     assert df.select(methods.links_of_repository(F.col("refs"), F.col("repo")).alias("x")).first().x == ["https://github.com/o/r/commit/1"]
     assert methods.with_fixed_code(df).count() == 0
+
+
+@pytest.mark.parametrize("name", ["chunk_remaining", "chunk_plan", "chunk_summary"])
+def test_records_are_spread_and_parsed_once(spark, name):
+    made = getattr(registry_code, name)(spark, "/root/testdata/sf0.001")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("[patch_regions(") == 1 and "REPARTITION_BY_NUM" in plan
+    # no text is built again where a filter reads it, nor in the loops over chunks
+    assert plan.count("format_string") <= 4
+
+
+def test_a_total_counts_a_row_once_and_stands_alone_without_rows(spark):
+    rows = spark.createDataFrame([(1, ["a", "b"]), (2, ["a", "TOTAL"]), (4, None), (8, [None])], "n int, keys array<string>")
+    counts = {"n": F.coalesce(F.sum("n"), F.lit(0)), "rows": F.count(F.lit(1))}
+    got = {(r.key, r.n, r.rows) for r in summaries.with_total(rows, "key", F.col("keys"), counts).collect()}
+    assert got == {("a", 3, 2), ("b", 1, 1), ("TOTAL", 2, 1), (None, 8, 1), ("TOTAL", 15, 4)}
+    assert [tuple(r) for r in summaries.with_total(rows.where("n > 9"), "key", F.col("keys"), counts).collect()] == [("TOTAL", 0, 0)]
