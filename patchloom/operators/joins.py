@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of a lookup side that are broadcast at most; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
+#: Pairs that shared_counts gives a task, on average.
+TASK_PAIRS = 1_000_000
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -44,6 +48,35 @@ def interval_join(points: DataFrame, spans: DataFrame, on: list[str], at: str, s
     return points.join(spans, on).where(F.col(at).between(F.col(start), F.col(end)))
 
 
+def shared_counts(rows: DataFrame, row: str, group: list[str], other: str, task_pairs: int = TASK_PAIRS) -> DataFrame:
+    """(row, other, shared): every two rows, row below other, that are in a group
+    together, and in how many. Null ids and keys meet nothing.
+
+    The pairs grow with the square of a group, so they are made where they are
+    counted and never shuffled. Rows are dealt to blocks by their id; a group sends
+    two lists of rows to the task of each two of its blocks. The number of blocks
+    follows the number of pairs, which is counted first, so a task holds a bounded
+    number of them, and a large group is dealt over all tasks.
+    """
+    keyed = rows.select(row, *group).na.drop()
+    n = F.col("count").cast("decimal(20,0)")
+    sized = keyed.groupBy(F.xxhash64(*group).alias("_group")).count()
+    pairs = int(sized.agg(F.sum(n * (n - 1) / 2)).first()[0] or 0)
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs // task_pairs + 1)
+    blocks = math.isqrt(2 * tasks) + 1
+    block = F.pmod(F.xxhash64(row), F.lit(blocks)).alias("block")
+    listed = keyed.repartition(*group).groupBy(*group, block).agg(F.collect_list(row).alias("ids"))
+    gathered = listed.groupBy(*group).agg(F.collect_list(F.struct("block", "ids")).alias("_all"))
+    left = gathered.select("_all", F.posexplode("_all").alias("_at", "_x"))
+    met = left.select("_x", F.explode(F.slice("_all", F.col("_at") + 1, F.size("_all"))).alias("_y"))
+    low, high = F.least("_x.block", "_y.block"), F.greatest("_x.block", "_y.block")
+    lists = met.select((low * blocks + high).alias("_unit"), (low == high).alias("_one"), F.col("_x.ids").alias("_left"), F.col("_y.ids").alias("_right"))
+    dealt = lists.where(~F.col("_one") | (F.size("_left") > 1)).repartition(tasks, "_unit")
+    made = dealt.select("_unit", "_one", "_right", F.explode("_left").alias("_a")).select("_unit", "_one", "_a", F.explode("_right").alias("_b"))
+    counted = made.where(~F.col("_one") | (F.col("_a") < F.col("_b"))).groupBy("_unit", F.least("_a", "_b").alias(row), F.greatest("_a", "_b").alias(other))
+    return counted.agg(F.count(F.lit(1)).alias("shared")).drop("_unit")
+
+
 def siblings(df: DataFrame, group: list[str], name: str, fields: list[str]) -> DataFrame:
     """df with ``others``: the rows of its group with another name. The group is
     gathered once and filtered, so no pairs of rows are made."""

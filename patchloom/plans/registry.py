@@ -250,9 +250,8 @@ def line_set_score(spark, d):
     docs = t(spark, d, "documents").select("doc_id", "source", "lang", K.code_lines(F.col("text")).alias("lines"))
     # lines meet by equality and are counted for each pair that shares one
     rows = docs.select("doc_id", "source", "lang", F.explode("lines").alias("line"))
-    other = rows.select(F.col("doc_id").alias("other_id"), "source", "lang", "line")
-    met = rows.join(other, ["source", "lang", "line"]).where("doc_id < other_id")
-    return met.groupBy("doc_id", "other_id").agg((10 * F.count(F.lit(1))).alias("score"))
+    met = joins.shared_counts(rows, "doc_id", ["source", "lang", "line"], "other_id")
+    return met.select("doc_id", "other_id", (10 * F.col("shared")).alias("score"))
 
 
 @query(r"""

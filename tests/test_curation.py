@@ -1,11 +1,13 @@
 """Behaviour of the filter plans on small literals."""
 
+import collections
+
 from pyspark.sql import functions as F
 
 from patchloom.functions import keys as K
 from patchloom.functions import pycode
 from patchloom.functions.diffs import line_numbers, line_sets, regions
-from patchloom.operators import chunks, dedup, splits
+from patchloom.operators import chunks, dedup, joins, splits
 from patchloom.plans import curation
 from patchloom.plans.extraction import changed_functions
 
@@ -127,3 +129,16 @@ def test_groups_stay_in_one_split(spark):
     split = splits.allocate_groups(spark.createDataFrame(rows, "g int, label int"), "label", "g")
     assert splits.split_violations(split.withColumn("label", F.col("label").cast("string")), "g", "label", ["0", "1"]).count() == 0
     assert split.groupBy("g").count().where("count > 1").count() == 0
+
+
+def test_shared_counts_are_all_pairs_and_a_large_group_is_dealt_over_tasks(spark):
+    groups = {"common": range(60), "even": range(0, 60, 2), "two": [3, 50], "lone": [7]}
+    rows = [(i, "s", g) for g, ids in groups.items() for i in ids] + [(None, "s", "common"), (8, None, "common"), (61, "s", None)]
+    df = spark.createDataFrame(rows, "id int, source string, line string")
+    want = {(a, b): sum(a in ids and b in ids for ids in groups.values()) for a in range(60) for b in range(a + 1, 60)}
+    for most in (joins.TASK_PAIRS, 100):
+        made = joins.shared_counts(df, "id", ["source", "line"], "other", most)
+        got = made.withColumn("task", F.spark_partition_id()).collect()
+        assert {(r.id, r.other): r.shared for r in got} == want and len(got) == len(want)
+        tasks = collections.Counter(r.task for r in got)
+        assert len(tasks) > 1 and (most > 100 or max(tasks.values()) < 800)
