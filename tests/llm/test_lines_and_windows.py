@@ -1,11 +1,13 @@
 """Line classes and benchmark windows against brute force."""
 
 import random
+import re
+import time
 
 from pyspark.sql import functions as F
 
 from patchloom.llm import decontaminate, linedup
-from patchloom.llm.common import materialise
+from patchloom.llm.common import CLEAN_UP, materialise
 
 
 def edit_distance(a, b):
@@ -263,3 +265,20 @@ def test_index_of_a_large_block(monkeypatch):
         found = list(index.occurrences([w.encode() for w in cut]))
         spans = decontaminate.merge_spans([(a, b) for a, b, _ in found])
         assert (len(cut), sum(b - a for a, b in spans), sorted({i for *_, ids in found for i in ids})) == want
+
+
+def test_shuffles_are_removed_once_their_table_is_written(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return set(re.findall(r"shuffle_[0-9_]+\.data", disk.getAllFiles().mkString(" ")))
+
+    known = shuffles()
+    rows = spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    setting = spark.conf.get(CLEAN_UP)
+    written = materialise(rows, "rows")
+    deadline = time.time() + 5
+    while shuffles() - known and time.time() < deadline:
+        time.sleep(0.1)
+    assert not shuffles() - known and spark.conf.get(CLEAN_UP) == setting
+    assert len(written.collect()) == 7
